@@ -1,169 +1,8 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame
-over the driver's tables; ``ORACLE`` holds the equivalent DuckDB SQL.
+"""All registered queries (see ``registry``)."""
 
-Every query derives its inputs from the given tables through the stand-ins
-of ``campfin.plans.standins`` and runs over all of their rows.  Output
-columns are aliased identically on both sides; sums are decimal(24,2).
-"""
+from campfin.plans import (  # noqa: F401  (registration side effects)
+    queries_dims, queries_facts, queries_increment, queries_load,
+)
+from campfin.plans.registry import ORACLE, QUERIES
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from campfin.functions.text import date_from_mmddyyyy
-from campfin.operators import facts as fx
-from campfin.plans import reports
-from campfin.plans.standins import STANDIN_SQL, build
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-REPORT_CYCLE = "98"
-
-
-def register(name: str, sql: str | None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = STANDIN_SQL + ",\n" + sql if sql.lstrip().startswith("-- cte") \
-                else STANDIN_SQL + "\n" + sql
-        return fn
-    return deco
-
-
-# ---------------------------------------------------------------- resolve
-
-_RESOLVE_COLS = ["cm_id", "employer", "occupation", "transaction_dt", "transaction_amt",
-                 "other_cm_id", "other_cn_id", "sub_id", "y2"]
-_DATE_SQL = ("TRY_CAST(concat(right({c}, 4), '-', left({c}, 2), '-', substring({c}, 3, 2)) "
-             "AS DATE)")
-
-_RESOLVE_SQL = """SELECT cm.id AS cm_id, i.employer, i.occupation,
-       {date} AS transaction_dt, i.transaction_amt,
-       ocm.id AS other_cm_id, ocn.id AS other_cn_id, i.sub_id, i.y2
-FROM {src} AS i
-LEFT JOIN cm ON i.cmte_id = cm.cm_id AND cm.y2 = i.y2
-LEFT JOIN cm AS ocm ON i.other_id = ocm.cm_id AND i.y2 = ocm.y2
-LEFT JOIN cn AS ocn ON i.other_id = ocn.cn_id AND i.y2 = ocn.y2
-WHERE i.sub_id <> 0"""
-
-# Resolved full load of indiv, as a CTE for the later oracles.
-_INDIV_CTE = "-- cte\nindiv AS (" + _RESOLVE_SQL.format(
-    date=_DATE_SQL.format(c="i.transaction_dt"), src="src") + ")"
-
-
-def resolved(s, staged: DataFrame, kind: str = "indiv") -> DataFrame:
-    return fx.resolve(staged, fx.dim_lookup(s.cm, "cm_id"), fx.dim_lookup(s.cn, "cn_id"), kind)
-
-
-@register("resolve_indiv", _RESOLVE_SQL.format(date=_DATE_SQL.format(c="i.transaction_dt"),
-                                               src="src"))
-def q_resolve_indiv(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return resolved(s, s.sindiv()).select(*_RESOLVE_COLS)
-
-
-@register("resolve_oth", _RESOLVE_SQL.format(date=_DATE_SQL.format(c="i.transaction_dt"),
-                                             src="(SELECT * FROM src WHERE k % 3 = 1)"))
-def q_resolve_oth(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return resolved(s, s.soth(), "oth").select(*_RESOLVE_COLS)
-
-
-@register("resolve_pas2", """SELECT cm.id AS cm_id, i.employer, i.occupation,
-       {date} AS transaction_date, i.transaction_amt,
-       ocm.id AS other_cm_id, ocn.id AS other_cn_id, cn.id AS cn_id, i.sub_id, i.y2
-FROM (SELECT * FROM src WHERE k % 3 = 2) AS i
-LEFT JOIN cm ON i.cmte_id = cm.cm_id AND i.y2 = cm.y2
-LEFT JOIN cn ON i.cand_id = cn.cn_id AND i.y2 = cn.y2
-LEFT JOIN cm AS ocm ON i.other_id = ocm.cm_id AND i.y2 = ocm.y2
-LEFT JOIN cn AS ocn ON i.other_id = ocn.cn_id AND i.y2 = ocn.y2
-WHERE i.sub_id <> 0""".format(date=_DATE_SQL.format(c="i.transaction_dt")))
-def q_resolve_pas2(spark, sf_dir):
-    s = build(spark, sf_dir)
-    cols = [c if c != "transaction_dt" else "transaction_date" for c in _RESOLVE_COLS]
-    return resolved(s, s.spas2(), "pas2").select(*cols[:7], "cn_id", *cols[7:])
-
-
-# ------------------------------------------------------------- dates
-
-@register("date_from_mmddyyyy", """, v AS (
-  SELECT k, 'as_filed' AS variant, transaction_dt AS txt FROM src
-  UNION ALL SELECT k, 'short_month',
-         concat(CAST(month(dt) AS string), lpad(CAST(day(dt) AS string), 2, '0'),
-                CAST(year(dt) AS string)) FROM src JOIN o ON o_orderkey = k
-  UNION ALL SELECT k, 'day_first',
-         concat(lpad(CAST(day(dt) AS string), 2, '0'), lpad(CAST(month(dt) AS string), 2, '0'),
-                CAST(year(dt) AS string)) FROM src JOIN o ON o_orderkey = k
-  UNION ALL SELECT k, 'empty', '' FROM src)
-SELECT k, variant, txt, """ + _DATE_SQL.format(c="txt") + """ AS dt FROM v""")
-def q_date(spark, sf_dir):
-    s = build(spark, sf_dir)
-    o = s.o.select(F.col("o_orderkey").alias("k"), "dt")
-    base = s.src.select("k", "transaction_dt").join(o, "k")
-    mm, dd, yy = (F.month("dt").cast("string"), F.lpad(F.dayofmonth("dt").cast("string"), 2, "0"),
-                  F.year("dt").cast("string"))
-    variants = F.array(
-        F.struct(F.lit("as_filed").alias("variant"), F.col("transaction_dt").alias("txt")),
-        F.struct(F.lit("short_month").alias("variant"), F.concat(mm, dd, yy).alias("txt")),
-        F.struct(F.lit("day_first").alias("variant"),
-                 F.concat(dd, F.lpad(mm, 2, "0"), yy).alias("txt")),
-        F.struct(F.lit("empty").alias("variant"), F.lit("").alias("txt")))
-    v = base.select("k", F.inline(variants))
-    return v.select("k", "variant", "txt", date_from_mmddyyyy("txt").alias("dt"))
-
-
-# ----------------------------------------------------------- reports
-
-@register("cm_meta", _INDIV_CTE + """
-SELECT i.cm_id, CAST(sum(i.transaction_amt) AS decimal(24,2)) AS contribSum,
-       count(i.sub_id) AS contribCount
-FROM indiv AS i WHERE i.cm_id IS NOT NULL GROUP BY i.cm_id""")
-def q_cm_meta(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return reports.cm_meta(resolved(s, s.sindiv()))
-
-
-@register("top_committees", _INDIV_CTE + f"""
-SELECT cn.name AS candidate, cm.name AS committe, cm.party,
-       CAST(coalesce(sum(i.transaction_amt), 0) AS decimal(24,2)) AS amt
-FROM cm
-LEFT JOIN cn ON cm.cn_id = cn.cn_id AND cn.y2 = cm.y2
-LEFT JOIN indiv AS i ON i.cm_id = cm.id
-WHERE cm.y2 = '{REPORT_CYCLE}'
-GROUP BY cn.name, cm.name, cm.party
-ORDER BY amt DESC, candidate NULLS LAST, committe NULLS LAST, party NULLS LAST
-LIMIT 100""")
-def q_top_committees(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return reports.top_committees(s.cm, s.cn, resolved(s, s.sindiv()), REPORT_CYCLE)
-
-
-@register("employer_occupation", _INDIV_CTE + f"""
-SELECT i.employer, i.occupation, count(i.sub_id) AS contrib_count,
-       CAST(sum(i.transaction_amt) AS decimal(24,2)) AS contrib_sum
-FROM indiv AS i JOIN cm ON cm.id = i.cm_id
-WHERE cm.y2 = '{REPORT_CYCLE}'
-GROUP BY i.occupation, i.employer
-HAVING count(i.sub_id) > 25
-ORDER BY count(i.sub_id) DESC""")
-def q_employer_occupation(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return reports.employer_occupation(resolved(s, s.sindiv()), s.cm, REPORT_CYCLE)
-
-
-@register("employer_occupation_legacy", _INDIV_CTE + f"""
-SELECT min(i.employer) AS employer, min(i.occupation) AS occupation,
-       count(i.sub_id) AS contrib_count,
-       CAST(sum(i.transaction_amt) AS decimal(24,2)) AS contrib_sum
-FROM indiv AS i JOIN cm ON cm.id = i.cm_id
-WHERE cm.y2 = '{REPORT_CYCLE}'
-GROUP BY lower(rtrim(i.occupation)), lower(rtrim(i.employer))
-HAVING count(i.sub_id) > 25
-ORDER BY count(i.sub_id) DESC""")
-def q_employer_occupation_legacy(spark, sf_dir):
-    s = build(spark, sf_dir)
-    return reports.employer_occupation_legacy(resolved(s, s.sindiv()), s.cm, REPORT_CYCLE)
+__all__ = ["ORACLE", "QUERIES"]
