@@ -102,7 +102,7 @@ class Standins:
     def spas2(self): return self.src.where(F.col("k") % 3 == 2)
     def prev_indiv_src(self): return self.src.where(F.col("k") % 5 != 4)
     def sdelete(self):
-        return self.src.where((F.col("k") % 10).isin(7, 9)).select("sub_id", "k")
+        return self.src.where((F.col("k") % 10).isin(7, 9)).select("y2", "sub_id", "k")
     def sadd(self):
         return (self.src.where((F.col("k") % 5 == 4) | (F.col("k") % 10 == 0))
                 .withColumn("transaction_amt",
