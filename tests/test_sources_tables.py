@@ -1,0 +1,80 @@
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import functions as F
+
+from campfin.plans.tables import TableStore
+from campfin.sources.catalog import (
+    classify_archives, discover, expected_files, manifest_diff,
+)
+from campfin.sources.ziplines import read_zip_lines
+
+
+def test_expected_files(spark):
+    e = expected_files(spark, 2004, 2009)
+    assert e.count() == 3 * 8
+    assert "2004/cm04.zip" in [r["path"] for r in e.collect()]
+
+
+def test_manifest_diff_cases(spark):
+    # Missing local / size differs / same / absent remote.
+    expected = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "path string")
+    remote = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "path string, size long")
+    local = spark.createDataFrame([("b", 5), ("c", 3), ("d", 9)], "path string, size long")
+    got = dict((r["path"], r["status"]) for r in manifest_diff(expected, local, remote).collect())
+    assert got == {"a": "new", "b": "changed", "c": "unchanged", "d": "not found"}
+
+
+def test_classify_anchored_case_insensitive(spark):
+    paths = spark.createDataFrame([(p,) for p in [
+        "f/2012/indiv12.zip", "f/2012/INDIV12.ZIP", "f/2012/xindiv12.zip", "f/2012/indiv12.zip.bak",
+        "f/2012/add12.zip", "f/2004/cn04.zip"]], "path string")
+    full = sorted((r["path"], r["kind"], r["y2"]) for r in classify_archives(paths, "full").collect())
+    assert full == [("f/2004/cn04.zip", "cn", "04"), ("f/2012/INDIV12.ZIP", "indiv", "12"),
+                    ("f/2012/indiv12.zip", "indiv", "12")]
+    inc = [r["kind"] for r in classify_archives(paths, "incremental").collect()]
+    assert sorted(inc) == ["add", "cn"]   # E21: indiv is not read incrementally
+
+
+def _zip(path, entries, encoding="utf-8"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w") as zf:
+        for name, text in entries.items():
+            zf.writestr(name, text.encode(encoding))
+
+
+def test_zip_lines_entries_endings_encoding(spark):
+    root = tempfile.mkdtemp(prefix="campfin-test-zip-")
+    _zip(f"{root}/2012/indiv12.zip", {"a.txt": "l1\r\nl2\n", "b.txt": "l3\rl4"})   # E20
+    _zip(f"{root}/2004/cm04.zip", {"cm.txt": "Café|x\n"}, encoding="iso-8859-1")
+    lines = read_zip_lines(spark, f"{root}/2012")
+    got = sorted((r["entry"], r["line_no"], r["value"]) for r in lines.collect())
+    assert got == [("a.txt", 1, "l1"), ("a.txt", 2, "l2"), ("b.txt", 1, "l3"), ("b.txt", 2, "l4")]
+    latin = read_zip_lines(spark, f"{root}/2004", encoding="iso-8859-1").first()["value"]
+    assert latin == "Café|x"
+    found = sorted((r["kind"], r["y2"]) for r in discover(spark, "file:" + root, "full").collect())
+    assert found == [("cm", "04"), ("indiv", "12")]     # E19: '04' stays a string
+
+
+def test_table_store_versions_and_cycles(spark):
+    store = TableStore(spark)
+    assert store.read("cmMeta").count() == 0
+    schema = "cm_id long, contribSum decimal(24,2), contribCount long"
+    store.publish("cmMeta", spark.createDataFrame([(1, None, 1)], schema))
+    store.publish("cmMeta", spark.createDataFrame([(2, None, 3)], schema))
+    assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [2]
+    assert store.versions("cmMeta") == [1, 2]
+
+    def facts(rows):
+        df = spark.createDataFrame(rows, "sub_id long, y2 string")
+        return df.select(F.col("sub_id").cast("decimal(19,0)").alias("sub_id"), "y2")
+
+    store.publish("indiv", facts([(1, "10"), (2, "12"), (3, "12")]))
+    store.publish("indiv", facts([(4, "12")]), replace_cycles=["12"])
+    assert sorted((int(r["sub_id"]), r["y2"]) for r in store.read("indiv").collect()) == \
+        [(1, "10"), (4, "12")]
+    store.publish("indiv", facts([(4, "12")]).where("sub_id < 0"), replace_cycles=["10"])
+    assert [int(r["sub_id"]) for r in store.read("indiv").collect()] == [4]
+    # Cycle pruning: a filter on y2 drops the other cycles' scans.
+    assert store.read("indiv").where("y2 = '10'").count() == 0
