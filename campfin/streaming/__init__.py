@@ -1,0 +1 @@
+"""Structured Streaming: change feeds applied as they arrive."""
