@@ -5,14 +5,15 @@ A global ``row_number() OVER (ORDER BY ...)`` runs in one task.  Instead the
 rows are range-partitioned on the order (sampled bounds, so a hot cycle is
 split over many tasks), sorted inside each partition, and numbered by
 position; a prefix sum of the per-partition counts (one row per partition,
-so its size is bounded by the partition count) gives each partition's offset.
+so its size is bounded by the partition count, and it is summed on the
+driver) gives each partition's offset, applied as a literal map.
 The numbered rows are checkpointed first so that the counts and the offsets
 see the very same partitioning, also when tasks are retried.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campfin.session import shared_dir
@@ -40,11 +41,16 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int = 0, id_col: str
         .drop("_mid")
         .checkpoint(eager=True)
     )
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (
-        numbered.join(F.broadcast(offsets), "_pid")
-        .withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long"))
-        .drop("_pid", "_pos", "_off")
-    )
+    # One row per range partition: bounded by the partition count, not the data.
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, acc = {}, start
+    for pid, size in counts:
+        offsets[pid] = acc
+        acc += size
+    if not offsets:
+        return numbered.drop("_pid", "_pos").withColumn(id_col, F.lit(None).cast("long"))
+    table = F.create_map(*[F.lit(x).cast("long") for kv in offsets.items() for x in kv])
+    return (numbered.withColumn(id_col, (F.element_at(table, F.col("_pid")) + F.col("_pos") + 1)
+                                .cast("long"))
+            .drop("_pid", "_pos"))
