@@ -26,21 +26,29 @@ def dim_lookup(dim: DataFrame, key: str) -> Lookup:
 
 
 def resolve(staged: DataFrame, cm: Lookup, cn: Lookup, kind: str = "indiv",
-            keep: tuple[str, ...] = ()) -> DataFrame:
+            keep: tuple[str, ...] = (), columns: list[str] | None = None) -> DataFrame:
     """Production rows of ``kind`` (indiv, oth, add, chg, pas2) from staged rows.
 
     ``cm`` / ``cn`` come from ``dim_lookup``.  Columns absent from ``staged``
     come out NULL.  ``keep`` names extra staged columns to carry (e.g. the
-    load order)."""
+    load order).  ``columns`` restricts the output (and skips the lookups
+    whose ids are not asked for)."""
+    pas2 = kind == "pas2"
+    schema = fact_schema("pas2" if pas2 else "indiv")
+    want = set(columns) if columns is not None else set(schema.fieldNames())
     s = staged.where(F.col("sub_id") != 0)
     salt = ["sub_id"] + [c for c in keep if c in staged.columns]
-    s = lookup(s, cm, [("cmte_id", "cm_id"), ("y2", "y2")], {"_cm": "id"}, salt_cols=salt)
-    s = lookup(s, cm, [("other_id", "cm_id"), ("y2", "y2")], {"_ocm": "id"}, salt_cols=salt)
-    s = lookup(s, cn, [("other_id", "cn_id"), ("y2", "y2")], {"_ocn": "id"}, salt_cols=salt)
-    pas2 = kind == "pas2"
+    null_id = F.lit(None).cast("long")
+    steps = [("cm_id", cm, "cmte_id", "cm_id", "_cm"),
+             ("other_cm_id", cm, "other_id", "cm_id", "_ocm"),
+             ("other_cn_id", cn, "other_id", "cn_id", "_ocn")]
     if pas2:
-        s = lookup(s, cn, [("cand_id", "cn_id"), ("y2", "y2")], {"_cn": "id"}, salt_cols=salt)
-    schema = fact_schema("pas2" if pas2 else "indiv")
+        steps.append(("cn_id", cn, "cand_id", "cn_id", "_cn"))
+    for out_name, table, fact_key, dim_key, tmp in steps:
+        if out_name in want:
+            s = lookup(s, table, [(fact_key, dim_key), ("y2", "y2")], {tmp: "id"}, salt_cols=salt)
+        else:
+            s = s.withColumn(tmp, null_id)
     limits = PRODUCTION_LIMITS.get("pas2" if pas2 else kind, {})
     computed = {
         "cm_id": F.col("_cm"), "other_cm_id": F.col("_ocm"), "other_cn_id": F.col("_ocn"),
@@ -51,6 +59,8 @@ def resolve(staged: DataFrame, cm: Lookup, cn: Lookup, kind: str = "indiv",
         computed["cn_id"] = F.col("_cn")
     out = []
     for f in schema.fields:
+        if f.name not in want:
+            continue
         if f.name in computed:
             e = computed[f.name]
         elif f.name in s.columns:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from campfin.functions.text import date_from_mmddyyyy
 from campfin.plans import reports
 from campfin.plans.registry import (
-    DATE_SQL, INDIV_CTE, REPORT_CYCLE, RESOLVE_COLS, register, resolve_sql, resolved,
+    DATE_SQL, INDIV_CTE, REPORT_COLS, REPORT_CYCLE, RESOLVE_COLS, register, resolve_sql,
+    resolved,
 )
 from campfin.plans.standins import build
 
@@ -77,7 +78,7 @@ SELECT i.cm_id, CAST(sum(i.transaction_amt) AS decimal(24,2)) AS contribSum,
 FROM indiv AS i WHERE i.cm_id IS NOT NULL GROUP BY i.cm_id""")
 def q_cm_meta(spark, sf_dir):
     s = build(spark, sf_dir)
-    return reports.cm_meta(resolved(s, s.sindiv()))
+    return reports.cm_meta(resolved(s, s.sindiv(), columns=REPORT_COLS))
 
 
 @register("top_committees", INDIV_CTE + f"""
@@ -92,7 +93,8 @@ ORDER BY amt DESC, candidate NULLS LAST, committe NULLS LAST, party NULLS LAST
 LIMIT 100""")
 def q_top_committees(spark, sf_dir):
     s = build(spark, sf_dir)
-    return reports.top_committees(s.cm, s.cn, resolved(s, s.sindiv()), REPORT_CYCLE)
+    facts = resolved(s, s.sindiv(), columns=REPORT_COLS)
+    return reports.top_committees(s.cm, s.cn, facts, REPORT_CYCLE)
 
 
 @register("employer_occupation", INDIV_CTE + f"""
@@ -105,7 +107,8 @@ HAVING count(i.sub_id) > 25
 ORDER BY count(i.sub_id) DESC""")
 def q_employer_occupation(spark, sf_dir):
     s = build(spark, sf_dir)
-    return reports.employer_occupation(resolved(s, s.sindiv()), s.cm, REPORT_CYCLE)
+    facts = resolved(s, s.sindiv(), columns=REPORT_COLS)
+    return reports.employer_occupation(facts, s.cm, REPORT_CYCLE)
 
 
 @register("employer_occupation_legacy", INDIV_CTE + f"""
@@ -119,4 +122,5 @@ HAVING count(i.sub_id) > 25
 ORDER BY count(i.sub_id) DESC""")
 def q_employer_occupation_legacy(spark, sf_dir):
     s = build(spark, sf_dir)
-    return reports.employer_occupation_legacy(resolved(s, s.sindiv()), s.cm, REPORT_CYCLE)
+    facts = resolved(s, s.sindiv(), columns=REPORT_COLS)
+    return reports.employer_occupation_legacy(facts, s.cm, REPORT_CYCLE)

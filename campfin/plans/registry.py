@@ -62,6 +62,11 @@ def resolve_sql(src: str) -> str:
 INDIV_CTE = "-- cte\nindiv AS (" + resolve_sql("src") + ")"
 
 
-def resolved(s, staged: DataFrame, kind: str = "indiv", keep: tuple[str, ...] = ()) -> DataFrame:
+# Fact columns the sample reports read.
+REPORT_COLS = ["cm_id", "employer", "occupation", "transaction_amt", "sub_id", "y2"]
+
+
+def resolved(s, staged: DataFrame, kind: str = "indiv", keep: tuple[str, ...] = (),
+             columns: list[str] | None = None) -> DataFrame:
     return fx.resolve(staged, fx.dim_lookup(s.cm, "cm_id"), fx.dim_lookup(s.cn, "cn_id"), kind,
-                      keep=keep)
+                      keep=keep, columns=columns)

@@ -44,9 +44,10 @@ def cycles(o: DataFrame) -> list[str]:
     return sorted(r[0] for r in o.select("y2").distinct().collect())
 
 
-def staged_cn(spark: SparkSession, sf_dir: str, o: DataFrame) -> DataFrame:
+def staged_cn(spark: SparkSession, sf_dir: str, o: DataFrame,
+              cycle_list: list[str] | None = None) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
-    ys = F.array(*[F.lit(y) for y in cycles(o)])
+    ys = F.array(*[F.lit(y) for y in (cycle_list or cycles(o))])
     k = F.col("s_suppkey")
     return (s.select(k, "s_name", "s_nationkey", F.explode(ys).alias("y2"))
             .where(~((k % 7 == 0) & (F.col("y2") == "96")))
@@ -124,7 +125,7 @@ class Standins:
 
 def build(spark: SparkSession, sf_dir: str) -> Standins:
     o = orders_o(spark, sf_dir)
-    scn = staged_cn(spark, sf_dir, o)
+    scn = staged_cn(spark, sf_dir, o, cycles(o))
     scm = staged_cm(spark, sf_dir, o)
     cn = assign_ids(scn, ["y2", "cn_id"]).select("id", *scn.columns)
     cm = assign_ids(scm, ["y2", "cm_id"]).select("id", *scm.columns)
