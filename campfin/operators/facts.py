@@ -20,9 +20,10 @@ from campfin.operators.lookup import Lookup, lookup
 from campfin.schemas import PRODUCTION_LIMITS, fact_schema
 
 
-def dim_lookup(dim: DataFrame, key: str) -> Lookup:
-    """Narrow (y2, FEC id, id) lookup of a dimension, strategy decided once."""
-    return Lookup.of(dim.select("y2", key, "id"))
+def dim_lookup(dim: DataFrame, key: str, rows: int | None = None) -> Lookup:
+    """Narrow (y2, FEC id, id) lookup of a dimension, strategy decided once
+    (``rows``: its row count when already known)."""
+    return Lookup.of(dim.select("y2", key, "id"), rows=rows)
 
 
 def resolve(staged: DataFrame, cm: Lookup, cn: Lookup, kind: str = "indiv",
@@ -75,7 +76,8 @@ def resolve(staged: DataFrame, cm: Lookup, cn: Lookup, kind: str = "indiv",
 
 
 def key_lookup(keys: DataFrame) -> Lookup:
-    return Lookup.of(keys.select("sub_id").distinct())
+    """Distinct sub_ids of a change set, materialized once for check and join."""
+    return Lookup.of(keys.select("sub_id").distinct(), materialize=True)
 
 
 def delete_by_key(facts: DataFrame, deletes: DataFrame) -> DataFrame:

@@ -4,26 +4,38 @@ the largest id already issued.
 A global ``row_number() OVER (ORDER BY ...)`` runs in one task.  Instead the
 rows are range-partitioned on the order (sampled bounds, so a hot cycle is
 split over many tasks), sorted inside each partition, and numbered by
-position; a prefix sum of the per-partition counts (one row per partition,
-so its size is bounded by the partition count, and it is summed on the
-driver) gives each partition's offset, applied as a literal map.
-The numbered rows are checkpointed first so that the counts and the offsets
-see the very same partitioning, also when tasks are retried.
+position; a prefix sum of the per-partition counts (one value per
+partition, at most ``MAX_PARTS``, summed on the driver) gives each
+partition's offset, applied as a literal map.  The numbered rows are
+checkpointed so that counts and positions come from the very same
+partitioning, also when tasks are retried; the counts are observed while
+the checkpoint is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from campfin.session import shared_dir
 
 _LOW_BITS = (1 << 33) - 1
+# Range partitions used for numbering (dimension-sized inputs).
+MAX_PARTS = 64
 
 
 def assign_ids(df: DataFrame, order_cols: list[str], start: int = 0, id_col: str = "id",
                num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + 1, start + 2, ... in ``order_cols`` order.
+    """Add ``id_col`` = start + 1, start + 2, ... in ``order_cols`` order."""
+    return assign_ids_counted(df, order_cols, start, id_col, num_partitions)[0]
+
+
+def assign_ids_counted(df: DataFrame, order_cols: list[str], start: int = 0,
+                       id_col: str = "id",
+                       num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``assign_ids`` plus the number of rows numbered.
 
     ``order_cols`` must identify rows uniquely (ties would be numbered in an
     arbitrary but consistent order).  Result ids are independent of how the
@@ -31,26 +43,28 @@ def assign_ids(df: DataFrame, order_cols: list[str], start: int = 0, id_col: str
     """
     spark = df.sparkSession
     shared_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
+    ranged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
         .drop("_mid")
-        .checkpoint(eager=True)
     )
-    # One row per range partition: bounded by the partition count, not the data.
-    counts = sorted((r["_pid"], r["_n"]) for r in
-                    numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    # Rows per range partition (largest position + 1), observed while the
+    # checkpoint is written: no second pass.  One slot per partition, so the
+    # result is bounded by n.
+    obs = Observation(f"campfin-ids-{uuid.uuid4().hex}")
+    last = F.array(*[F.max(F.when(F.col("_pid") == i, F.col("_pos"))) for i in range(n)])
+    numbered = ranged.observe(obs, last.alias("last")).checkpoint(eager=True)
+    sizes = [(p + 1 if p is not None else 0) for p in obs.get["last"]]
     offsets, acc = {}, start
-    for pid, size in counts:
+    for pid, size in enumerate(sizes):
         offsets[pid] = acc
         acc += size
-    if not offsets:
-        return numbered.drop("_pid", "_pos").withColumn(id_col, F.lit(None).cast("long"))
     table = F.create_map(*[F.lit(x).cast("long") for kv in offsets.items() for x in kv])
-    return (numbered.withColumn(id_col, (F.element_at(table, F.col("_pid")) + F.col("_pos") + 1)
-                                .cast("long"))
-            .drop("_pid", "_pos"))
+    out = (numbered.withColumn(id_col, (F.element_at(table, F.col("_pid")) + F.col("_pos") + 1)
+                               .cast("long"))
+           .drop("_pid", "_pos"))
+    return out, acc - start

@@ -14,9 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from campfin.session import shared_dir
+
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 16
 
@@ -34,13 +38,26 @@ class Lookup:
 
     @classmethod
     def of(cls, df: DataFrame, max_rows: int | None = None,
-           salt_buckets: int | None = None) -> "Lookup":
+           salt_buckets: int | None = None, materialize: bool = False,
+           rows: int | None = None) -> "Lookup":
+        """Decide the strategy for ``df``.
+
+        ``materialize`` checkpoints ``df`` first (into ``spark.checkpoint.dir``)
+        when it is derived from a large input, so that the size check and the
+        join do not both recompute it; its rows are counted while written.  ``rows`` is a row count already known
+        (then no counting job runs)."""
         max_rows = max_rows if max_rows is not None else _conf_int(
             df, "campfin.broadcast.maxRows", DEFAULT_MAX_BROADCAST_ROWS)
         buckets = salt_buckets or _conf_int(df, "campfin.salt.buckets", DEFAULT_SALT_BUCKETS)
-        # The size check: count at most max_rows + 1 rows.
-        small = df.limit(max_rows + 1).count() <= max_rows
-        return cls(df, small, buckets)
+        if materialize:
+            shared_dir(df.sparkSession)
+            obs = Observation(f"campfin-lookup-{uuid.uuid4().hex}")
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+            rows = obs.get["rows"]
+        if rows is None:
+            # The size check: count at most max_rows + 1 rows.
+            rows = df.limit(max_rows + 1).count()
+        return cls(df, rows <= max_rows, buckets)
 
 
 def lookup(big: DataFrame, table: Lookup, on: list[tuple[str, str]],

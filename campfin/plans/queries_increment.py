@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from campfin.operators import facts as fx
-from campfin.plans.registry import RESOLVE_COLS, register, resolve_sql
+from campfin.plans.registry import RESOLVE_COLS, cm_lookup, cn_lookup, register, resolve_sql
 from campfin.plans.standins import build
 
 _COLS = ", ".join(RESOLVE_COLS)
@@ -35,7 +35,7 @@ WHERE rn = 1"""
 
 def _state(spark, sf_dir):
     s = build(spark, sf_dir)
-    cm, cn = fx.dim_lookup(s.cm, "cm_id"), fx.dim_lookup(s.cn, "cn_id")
+    cm, cn = cm_lookup(s), cn_lookup(s)
     prev = fx.resolve(s.prev_indiv_src(), cm, cn)
     adds = fx.resolve(s.sadd(), cm, cn, "add", keep=("k",))
     chg = fx.resolve(s.schg(), cm, cn, "chg", keep=("k",))

@@ -148,6 +148,9 @@ UNION ALL SELECT 'cn matched', 0 UNION ALL SELECT 'cn updated', 0
 UNION ALL SELECT 'cn inserted', count(*) FROM scn
 UNION ALL SELECT 'cm matched', 0 UNION ALL SELECT 'cm updated', 0
 UNION ALL SELECT 'cm inserted', count(*) FROM scm
+UNION ALL SELECT 'pas2 duplicates dropped', 0
+UNION ALL SELECT 'oth duplicates dropped', 0
+UNION ALL SELECT 'indiv duplicates dropped', 0
 UNION ALL SELECT 'pas2 rows', count(*) FROM srcp WHERE k % 3 = 2 AND sid <> 0
 UNION ALL SELECT 'oth rows', count(*) FROM srcp WHERE k % 3 = 1 AND sid <> 0
 UNION ALL SELECT 'indiv rows', count(*) FROM srcp WHERE sid <> 0

@@ -68,5 +68,12 @@ REPORT_COLS = ["cm_id", "employer", "occupation", "transaction_amt", "sub_id", "
 
 def resolved(s, staged: DataFrame, kind: str = "indiv", keep: tuple[str, ...] = (),
              columns: list[str] | None = None) -> DataFrame:
-    return fx.resolve(staged, fx.dim_lookup(s.cm, "cm_id"), fx.dim_lookup(s.cn, "cn_id"), kind,
-                      keep=keep, columns=columns)
+    return fx.resolve(staged, cm_lookup(s), cn_lookup(s), kind, keep=keep, columns=columns)
+
+
+def cm_lookup(s):
+    return fx.dim_lookup(s.cm, "cm_id", rows=s.cm_rows)
+
+
+def cn_lookup(s):
+    return fx.dim_lookup(s.cn, "cn_id", rows=s.cn_rows)

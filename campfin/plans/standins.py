@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campfin.operators.ids import assign_ids
+from campfin.operators.ids import assign_ids_counted
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +96,8 @@ class Standins:
     cn: DataFrame
     cm: DataFrame
     src: DataFrame
+    cn_rows: int = 0
+    cm_rows: int = 0
 
     # Splits of ``src`` (F4 table).
     def sindiv(self): return self.src
@@ -127,9 +129,11 @@ def build(spark: SparkSession, sf_dir: str) -> Standins:
     o = orders_o(spark, sf_dir)
     scn = staged_cn(spark, sf_dir, o, cycles(o))
     scm = staged_cm(spark, sf_dir, o)
-    cn = assign_ids(scn, ["y2", "cn_id"]).select("id", *scn.columns)
-    cm = assign_ids(scm, ["y2", "cm_id"]).select("id", *scm.columns)
-    return Standins(o=o, scn=scn, scm=scm, cn=cn, cm=cm, src=contributions(o))
+    cn, cn_rows = assign_ids_counted(scn, ["y2", "cn_id"])
+    cm, cm_rows = assign_ids_counted(scm, ["y2", "cm_id"])
+    return Standins(o=o, scn=scn, scm=scm, cn=cn.select("id", *scn.columns),
+                    cm=cm.select("id", *scm.columns), src=contributions(o),
+                    cn_rows=cn_rows, cm_rows=cm_rows)
 
 
 # The same stand-ins as SQL (runs unchanged on Spark SQL and DuckDB).
