@@ -19,8 +19,8 @@ from campfin.schemas import D, FIELDS_BY_KIND
 ORDER_COL = "_order"
 
 
-def field_exprs(value: Column, fields) -> list[Column]:
-    arr = F.split(value, r"\|", -1)
+def field_exprs(arr: Column, fields) -> list[Column]:
+    """Typed fields from the split line ``arr``."""
     out = []
     for i, (name, kind, size, not_null) in enumerate(fields):
         raw = F.get(arr, i)
@@ -39,8 +39,10 @@ def field_exprs(value: Column, fields) -> list[Column]:
 def parse(lines: DataFrame, fields, keep: tuple[str, ...] = (ORDER_COL,)) -> DataFrame:
     """Typed staging rows from ``lines`` (columns ``y2``, ``value`` and the
     ordering column).  ``fields`` is a layout from ``campfin.schemas``."""
-    extra = [F.col(c) for c in keep if c in lines.columns]
-    return lines.select(F.col("y2"), *field_exprs(F.col("value"), fields), *extra)
+    extra = [c for c in keep if c in lines.columns]
+    # Split once in its own projection; every field then reads the array.
+    split = lines.select("y2", F.split(F.col("value"), r"\|", -1).alias("_f"), *extra)
+    return split.select("y2", *field_exprs(F.col("_f"), fields), *extra)
 
 
 def parse_kind(lines: DataFrame, kind: str) -> DataFrame:

@@ -62,6 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/campfin-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df):
+    """Spread an under-split input over the cluster: when a scan yields fewer
+    partitions than ``spark.default.parallelism`` (a few small or unsplittable
+    files), round-robin it to that many; large inputs are left as they are."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def local_fs_path(path: str) -> str | None:
     """Plain OS path for ``file:`` URIs and bare paths, else None."""
     if path.startswith("file:"):
