@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from campfin.session import spread
+
 NULL_MARK_SQL = "concat(chr(92), 'N')"
 NULL_STR = "CAST(NULL AS string)"
 
@@ -134,8 +136,9 @@ def with_n(df: DataFrame, kind: str) -> DataFrame:
 
 
 def render_lines(df: DataFrame, kind: str, order: str) -> DataFrame:
-    """(y2, value, _order) lines of stand-in rows, rendered on Spark."""
-    base = with_n(df, kind)
+    """(y2, value, _order) lines of stand-in rows, rendered on Spark (spread
+    first when the input is under-split: rendering is the heavy per-row work)."""
+    base = with_n(spread(df), kind)
     cols = ["y2"] if "y2" in base.columns else []
     return base.select(*cols, F.expr(line_sql(kind)).alias("value"),
                        F.expr(order).alias("_order"))
