@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from campfin.session import shared_dir
 
 _LOW_BITS = (1 << 33) - 1
-# Range partitions used for numbering (dimension-sized inputs).
+# Range partitions used for numbering (dimension-sized inputs): at most this
+# many, and at most twice the cores.
 MAX_PARTS = 64
 
 
@@ -43,7 +44,8 @@ def assign_ids_counted(df: DataFrame, order_cols: list[str], start: int = 0,
     """
     spark = df.sparkSession
     shared_dir(spark)
-    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              2 * spark.sparkContext.defaultParallelism, MAX_PARTS)
     ranged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
