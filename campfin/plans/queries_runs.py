@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from campfin.operators.history import mode_at, newest_event, with_note
 from campfin.plans import runs
 from campfin.plans.feeds import full_feed, incremental_feed, write_feed
-from campfin.plans.registry import RESOLVE_COLS, register, resolve_sql, resolved
-from campfin.plans.standins import build, read_table
+from campfin.plans.registry import ORACLE, RESOLVE_COLS, register, resolve_sql, resolved
+from campfin.plans.standins import STANDIN_SQL, build, read_table
 from campfin.plans.tables import TableStore
+from campfin.session import scratch_path
+from campfin.streaming import increments
 
 
 @register("full_refresh_indiv", resolve_sql("src"))
@@ -138,6 +140,20 @@ def q_incremental_run_cm_meta(spark, sf_dir):
     return store.read("cmMeta")
 
 
+@register("land_bronze_counts", """
+SELECT 'cn' AS kind, y2, count(*) AS lines FROM scn GROUP BY y2
+UNION ALL SELECT 'cm', y2, count(*) FROM scm GROUP BY y2
+UNION ALL SELECT 'indiv', y2, count(*) FROM src GROUP BY y2
+UNION ALL SELECT 'oth', y2, count(*) FROM src WHERE k % 3 = 1 GROUP BY y2
+UNION ALL SELECT 'pas2', y2, count(*) FROM src WHERE k % 3 = 2 GROUP BY y2""")
+def q_land_bronze_counts(spark, sf_dir):
+    """S3 + S4 + S11 + K3: a full feed's archives landed as bronze lines; the
+    kind and cycle of every line come from its archive's name."""
+    s = build(spark, sf_dir)
+    bronze = runs.land(spark, write_feed(spark, full_feed(s)), runs.FULL)
+    return bronze.groupBy("kind", "y2").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @register("run_report", _PARSED + """
 SELECT 'lines cn' AS metric, count(*) AS value FROM scn
 UNION ALL SELECT 'lines cm', count(*) FROM scm
@@ -161,3 +177,21 @@ def q_run_report(spark, sf_dir):
     s = build(spark, sf_dir)
     feed = write_feed(spark, full_feed(s))
     return runs.run(spark, TableStore(spark), feed, mode=runs.FULL).report
+
+
+@register("stream_changes_cm_meta", ORACLE["incremental_run_cm_meta"][len(STANDIN_SQL):].lstrip(", \n"))
+def q_stream_changes_cm_meta(spark, sf_dir):
+    """The change stream: a full run over the previous state, the change
+    archives landed as bronze lines, then applied by a Structured Streaming
+    query (available-now trigger); the resulting cmMeta equals the
+    incremental run's."""
+    s = build(spark, sf_dir)
+    store = TableStore(spark)
+    runs.run(spark, store, write_feed(spark, full_feed(s, s.prev_indiv_src())), mode=runs.FULL)
+    bronze = scratch_path(spark, "bronze-changes")
+    runs.land(spark, write_feed(spark, incremental_feed(s)), runs.INCREMENTAL, bronze=bronze)
+    q = increments.start(spark, store, bronze)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read("cmMeta")
