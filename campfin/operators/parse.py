@@ -49,12 +49,6 @@ def parse_kind(lines: DataFrame, kind: str) -> DataFrame:
     return parse(lines, FIELDS_BY_KIND[kind])
 
 
-def line_order(path: str = "path", entry: str = "entry", line_no: str = "line_no") -> Column:
-    """Load order of a line: (file, entry, line number)."""
-    return F.struct(F.col(path).alias("path"), F.col(entry).alias("entry"),
-                    F.col(line_no).alias("line_no"))
-
-
 def render(df: DataFrame, fields) -> Column:
     """The raw line of a typed row (inverse of ``parse`` for clean values)."""
     parts = []

@@ -59,3 +59,16 @@ def test_parse_rejects_nothing_counts_rows(spark):
     assert df.count() == 3
     assert [r["sub_id"] for r in df.orderBy("_order").collect()] == [Decimal(0)] * 3
     assert df.where(F.col("sub_id") != 0).count() == 0
+
+
+def test_render_parse_round_trip(spark):
+    from campfin.operators.parse import render
+    from campfin.schemas import CM_FIELDS
+    row = ("C00000001", "FRIENDS OF X", "T", "1 MAIN", "", "CITY", "TX", "75001", "P", "H",
+           "DEM", "Q", "", "ORG", "H0TX00001")
+    names = [f[0] for f in CM_FIELDS]
+    df = spark.createDataFrame([row], ", ".join(f"{n} string" for n in names))
+    lines = df.select(F.lit("12").alias("y2"), render(df, CM_FIELDS).alias("value"),
+                      F.lit(1).alias("_order"))
+    back = parse_kind(lines, "cm").select(*names).first()
+    assert tuple(back) == row
