@@ -17,10 +17,18 @@ _lock = threading.Lock()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "campfin") -> SparkSession:
-    """Session for tests and the bench.  On a cluster the caller's session is used."""
+                  app: str = "campfin", event_log_dir: str | None = None) -> SparkSession:
+    """Session for tests and the bench.  On a cluster the caller's session is used.
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    without the web UI, which stays off)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
