@@ -72,3 +72,22 @@ def test_render_parse_round_trip(spark):
                       F.lit(1).alias("_order"))
     back = parse_kind(lines, "cm").select(*names).first()
     assert tuple(back) == row
+
+
+def test_repair_counts(spark):
+    from campfin.operators.repairs import repair_counts
+    good = "C00000001|N|Q1|P2012|123|15|IND|DOE|CITY|MA|02139|ACME|ENG|04122012|250.00|" \
+           "H00000001|T1|42|X|memo|4061920121160012345"
+    f = good.split("|")
+    short = "|".join(f[:19])                                   # short line
+    long = good + "|extra"                                      # long line
+    junk = "|".join(f[:14] + ["12USD", "\\N"] + f[16:])         # lenient number, \N field
+    wide = "|".join(f[:2] + ["M10X"] + f[3:])                   # rpt_tp is 3 wide
+    lines = spark.createDataFrame([("indiv", v) for v in (good, short, long, junk, wide)]
+                                  + [("delete", ""), ("delete", "4061920121160012345")],
+                                  "kind string, value string")
+    got = {(r["kind"], r["repair"]): r["count"] for r in repair_counts(lines).collect()}
+    assert got[("indiv", "short_lines")] == 1 and got[("indiv", "long_lines")] == 1
+    assert got[("indiv", "null_fields")] == 1 and got[("indiv", "lenient_numbers")] == 1
+    assert got[("indiv", "cut_text")] == 1
+    assert got[("delete", "lenient_numbers")] == 1   # '' read as 0
