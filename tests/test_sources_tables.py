@@ -76,5 +76,8 @@ def test_table_store_versions_and_cycles(spark):
         [(1, "10"), (4, "12")]
     store.publish("indiv", facts([(4, "12")]).where("sub_id < 0"), replace_cycles=["10"])
     assert [int(r["sub_id"]) for r in store.read("indiv").collect()] == [4]
+    # A cycle written but not listed still replaces its folder (no double rows).
+    store.publish("indiv", facts([(5, "12")]), replace_cycles=[])
+    assert [int(r["sub_id"]) for r in store.read("indiv").collect()] == [5]
     # Cycle pruning: a filter on y2 drops the other cycles' scans.
     assert store.read("indiv").where("y2 = '10'").count() == 0
