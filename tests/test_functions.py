@@ -57,3 +57,21 @@ def test_any_changed_legacy_collation(spark):
     got = [r[0] for r in df.select(
         any_changed([("e", F.col("o"), F.col("n"))], collation="UTF8_LCASE_RTRIM")).collect()]
     assert got == [False, True]
+
+
+def test_dates_against_calendar(spark):
+    """Brute force: random MMDDYYYY texts (impossible months/days included)
+    against Python's calendar, in one Spark job."""
+    import random
+    rnd = random.Random(7)
+    texts = [f"{rnd.randint(0, 19):02d}{rnd.randint(0, 39):02d}{rnd.randint(1900, 2100)}"
+             for _ in range(3000)]
+
+    def expect(t):
+        try:
+            return dt.date(int(t[4:]), int(t[:2]), int(t[2:4]))
+        except ValueError:
+            return None
+
+    got = _one_col(spark, texts, date_from_mmddyyyy)
+    assert got == [expect(t) for t in texts]
