@@ -81,3 +81,20 @@ def test_table_store_versions_and_cycles(spark):
     assert [int(r["sub_id"]) for r in store.read("indiv").collect()] == [5]
     # Cycle pruning: a filter on y2 drops the other cycles' scans.
     assert store.read("indiv").where("y2 = '10'").count() == 0
+
+
+def test_half_written_version_is_invisible(spark):
+    """A manifest version without its commit marker (a publish that died
+    before the switch) is never read."""
+    store = TableStore(spark)
+    schema = "cm_id long, contribSum decimal(24,2), contribCount long"
+    store.publish("cmMeta", spark.createDataFrame([(1, None, 1)], schema))
+    broken = f"{store._manifest_dir('cmMeta')}/v=2".replace("file:", "", 1)
+    os.makedirs(broken)
+    with open(os.path.join(broken, "manifest.parquet"), "wb") as fh:
+        fh.write(b"partial")
+    assert store.versions("cmMeta") == [1]
+    assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [1]
+    # The next publish still gets a fresh, committed version above the broken one.
+    store.publish("cmMeta", spark.createDataFrame([(3, None, 2)], schema))
+    assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [3]
