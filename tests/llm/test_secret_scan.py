@@ -1,0 +1,84 @@
+import random
+import re
+
+import pytest
+
+from campfin.llm.automaton import compile_rules
+from campfin.llm.secret_scan import BASE, MORE, Scanner, digest, find_secrets, hex_digest
+
+FIXED = [
+    ("assign", re.compile(r"((?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?)"
+                          r"([A-Za-z0-9+/_.=-]+)"), lambda m: len(m.group(2)) >= 12),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 18),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m.group()) >= 16),
+    ("github", re.compile(r"gh[pousr]_[A-Za-z0-9]+"), lambda m: len(m.group()) >= 40),
+    ("slack", re.compile(r"xox[abprs]-[A-Za-z0-9-]+"), lambda m: len(m.group()) >= 20),
+    ("google", re.compile(r"AIza[A-Za-z0-9_-]+"), lambda m: len(m.group()) >= 39),
+    ("private_key", re.compile(r"-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----"), lambda m: True),
+]
+
+
+def brute(text):
+    text = text or ""
+    found = [(m.start(), i, kind, m.end()) for i, (kind, rx, ok) in enumerate(FIXED)
+             for m in rx.finditer(text) if ok(m)]
+    return [(k, a, b) for a, _, k, b in sorted(found)]
+
+
+BITS = ["password", "PassWd", "secret", "TOKEN", "api_key", "APIkey", "=", ":", " ", '"', "'", "==",
+        "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "q", "é", "\n", ",", "-", "xoxb-",
+        "ghp_", "A" * 40, "AIza", "-----BEGIN ", "RSA PRIVATE KEY-----", "PRIVATE KEY-----", "你", "f", "9"]
+
+
+def texts():
+    rnd = random.Random(11)
+    out = ["", None, 'token="secret":"abcdefghijklmnop"', "AKIAAKIA" + "Z" * 20, "tokentoken=" + "a" * 12,
+           "é" * 9 + "password = 'abcdefabcdefabcdef'", "f" * 15, "f" * 16, "token" + " " * 5000 + "=" + "b" * 12,
+           "z" * 50000 + "0" * 16, "password=" + "f" * 100000]
+    out += ["".join(rnd.choice(BITS) for _ in range(rnd.randint(1, 25))) for _ in range(4000)]
+    return out
+
+
+def test_operator_equals_regular_expressions(spark):
+    data = texts()
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(data)],
+                               "doc_id long, text string, spans string, n_hex int")
+    got = {r["doc_id"]: r for r in digest(find_secrets(df)).collect()}
+    for i, t in enumerate(data):
+        want = brute(t)
+        r = got[i]
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b in want), t
+        base = [s for s in want if s[0] in ("assign", "access", "hex")]
+        assert r["base_sha256"] == hex_digest(base)
+        for k in ("assign", "access", "hex"):
+            assert r["n_" + k] == sum(s[0] == k for s in base)
+    assert find_secrets(df.limit(0)).count() == 0
+
+
+def test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r["doc_id"]: brute(r["text"]) for r in docs.collect()}
+    assert sum(map(len, want.values())) > 50
+    for r in digest(find_secrets(docs)).collect():
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b in want[r["doc_id"]])
+
+
+def test_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "f" * 20), (1, "f" * 20), (1, "f" * 20)], "doc_id long, text string")
+    assert [r["n_hex"] for r in digest(find_secrets(df)).collect()] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("pattern", ["a(b|cd)*e?", "[a-c]{2,3}d", "(ab|a)(c|bcd)", "x{0,2}y+", "a{3}"])
+def test_compiler_equals_re(pattern):
+    a, rnd = compile_rules([(pattern, False)], False), random.Random(2)
+    full = re.compile(pattern)
+    for _ in range(500):
+        s = "".join(rnd.choice("abcdexy") for _ in range(rnd.randint(1, 9)))
+        ends = [k for k in range(1, len(s) + 1) if full.fullmatch(s[:k])]
+        assert a.longest(s.encode(), 0, len(s)) == (ends[-1] if ends else -1)
+
+
+def test_automaton_is_minimal():
+    a = compile_rules([("(ab|cb)d", False)], False)
+    assert len(a.accepts) == 4
+    assert Scanner(BASE + MORE).n_states < 3000
