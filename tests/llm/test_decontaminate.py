@@ -1,0 +1,95 @@
+import random
+
+import numpy as np
+
+from campfin.llm.decontaminate import (LEAST_CHARS, PER_EDIT, Searcher, best_match, clean, contaminated,
+                                       normalise)
+
+
+def brute(pattern, text):
+    """Least edit distance of the pattern to any substring, row by row."""
+    prev = np.zeros(len(text) + 1, int)
+    t = np.array(list(text))
+    for i, ch in enumerate(pattern, 1):
+        row = np.minimum(prev[1:] + 1, prev[:-1] + (t != ch) if len(text) else prev[:-1])
+        cur = np.concatenate(([i], row))
+        # insertions: running minimum of cur - index
+        idx = np.arange(len(cur))
+        prev = np.minimum.accumulate(cur - idx) + idx
+    return int(prev.min())
+
+
+def edit(rnd, s, n):
+    s = list(s)
+    for _ in range(n):
+        i = rnd.randrange(len(s))
+        how = rnd.randrange(3)
+        if how == 0:
+            s[i] = rnd.choice("xyzé ")
+        elif how == 1:
+            del s[i]
+        else:
+            s.insert(i, rnd.choice("qwé"))
+    return "".join(s)
+
+
+def cases(seed=9):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("etaoinsü") for _ in range(rnd.randint(2, 7)))
+    items = [(i, " ".join(word() for _ in range(rnd.randint(6, 40)))) for i in range(12)]
+    docs = []
+    for i in range(150):
+        parts = [" ".join(word() for _ in range(rnd.randint(0, 40)))]
+        for _, t in rnd.sample(items, rnd.choice([0, 0, 1, 2])):
+            parts.append(edit(rnd, t, rnd.randint(0, len(t) // PER_EDIT + 2)))
+            parts.append(" ".join(word() for _ in range(rnd.randint(0, 30))))
+        docs.append((i, rnd.choice([" ", "\n\t ", ""]).join(parts)))
+    return docs, items
+
+
+def test_best_match_equals_dynamic_programming():
+    rnd = random.Random(1)
+    for _ in range(300):
+        p = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 90)))
+        t = "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 200)))
+        masks = {}
+        for i, ch in enumerate(p):
+            masks[ch] = masks.get(ch, 0) | 1 << i
+        assert best_match(p, masks, t)[0] == brute(p, t)
+
+
+def test_every_pair_equals_brute_force(spark):
+    docs, items = cases()
+    docs += [(900, None), (901, ""), (902, items[0][1] + " " + items[0][1]), (903, items[1][1].upper() + "\n" * 9),
+             (904, "x" * 9000 + normalise(items[2][1])), (905, (items[3][1][:20] + " ") * 300)]
+    docs += docs[:5] + [(None, items[4][1])]
+    d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, hits string, items int")
+    b = spark.createDataFrame(items + [(50, None), (51, ""), (52, "too short")], "item_id long, text string")
+    for options in ({}, {"block_chars": 400}):
+        got = sorted((r["doc_id"] or -1, r["items"], r["least_distance"]) for r in contaminated(d, b, **options).collect())
+        want = []
+        for i, t in docs:
+            n = normalise(t)
+            hits = {str(k): brute(normalise(x), n) for k, x in items if len(normalise(x)) >= LEAST_CHARS}
+            hits = {k: v for k, v in hits.items() if v <= len(normalise(dict(items)[int(k)])) // PER_EDIT}
+            want.append((i or -1 if i != 0 else -1, ",".join(sorted(hits)), min(hits.values(), default=None)))
+        assert got == sorted(want, key=lambda r: (r[0], r[1], str(r[2])))
+    kept = clean(d, b)
+    assert kept.columns == d.columns
+    assert kept.count() == sum(w[1] == "" for w in want)
+
+
+def test_empty_tables(spark):
+    d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [r["contaminated"] for r in contaminated(d, none).collect()] == [False]
+    assert contaminated(d.limit(0), none).count() == 0 and Searcher([], 16).find("abc") == []
+
+
+def test_planted_passages(spark):
+    d = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "benchmark"))
+    texts = {r["doc_id"]: normalise(r["text"]) for r in docs.collect()}
+    exact = {i for i, t in texts.items() if any(normalise(r["text"]) in t for r in items.collect())}
+    got = {r["doc_id"] for r in contaminated(docs, items).collect() if r["contaminated"]}
+    assert exact and exact <= got and len(got - exact) <= 0.2 * len(exact)
