@@ -9,7 +9,12 @@ tokens known to be frequent last (by an estimated count, bounded list), the
 others follow different hashes: every order is the same for all documents, so
 no link is lost, whatever the estimate.
 
-Scale: equal sets are one node.  Tokens are shuffled for nodes' prefixes only.
+Two nodes also share enough *of* their first prefixes: if A's ends first, the
+tokens of A's prefix that B has are in B's prefix, so
+``shared <= |A| - |prefix(A)| + shared in the prefixes``.
+
+Scale: equal sets are one node.  Parts of the table ask buckets of tokens which
+prefix tokens another node has (14 bytes a token); only those become rows.
 Within a token's group of more than ``GROUP`` nodes no pairs are listed at
 first: all nodes are verified against the node with the rarest own tokens,
 links become components, and only pairs across components that pass the
@@ -26,16 +31,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from campfin.llm.asking import ANSWER, DIFFERS, SENT, answer, answers, known, least_by_key, send, sent
 from campfin.llm.components import components, stored
 
 WORDS = 4
 PERCENT = 85
 GROUP = 16
+PART_ROWS, LEAST_PARTS = 4000, 8
 #: Orders besides the first.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: The frequent list: tokens seen ``LOCAL`` times among ``CHUNK`` shingles of
 #: a task, ``TOTAL`` times in sum, the ``LISTED`` most frequent.
-CHUNK, LOCAL, TOTAL, LISTED = 4_000_000, 3, 24, 200_000
+CHUNK, LOCAL, TOTAL, LISTED = 4_000_000, 2, 4, 500_000
 CACHE_WORDS = 400_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
@@ -126,9 +133,10 @@ def frequent_tokens(src: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
             yield count()
 
     top = (src.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-           .where(F.col("n") >= TOTAL).orderBy(F.desc("n"), "token").limit(LISTED).collect())
-    top = sorted((r["token"], r["n"]) for r in top)
-    return np.array([t for t, _ in top], np.int64), np.array([n for _, n in top], np.int64)
+           .where(F.col("n") >= TOTAL).orderBy(F.desc("n"), "token").limit(LISTED).toArrow())
+    token, n = (top.column(c).to_numpy() for c in ("token", "n"))
+    order = np.argsort(token)
+    return token[order], n[order]
 
 
 def _signatures(src: DataFrame, k: int, percent: int) -> DataFrame:
@@ -227,6 +235,46 @@ def _ordered(df: DataFrame) -> DataFrame:
     return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _prefixes(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of a part's distinct nodes: tokens, and node, size and place of each."""
+    _, rows = np.unique(table.column("node").to_numpy(), return_index=True)
+    table = table.take(pa.array(rows))
+    lists = table.column("prefix").combine_chunks()
+    sizes = lists.value_lengths().to_numpy()
+    begin = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(begin, sizes)
+    return (lists.flatten().to_numpy(), np.repeat(table.column("node").to_numpy(), sizes),
+            np.repeat(table.column("n").to_numpy(), sizes), place)
+
+
+def _shared_tokens(signed: DataFrame) -> DataFrame:
+    """(token, node, n, i) of the prefix tokens that several nodes have."""
+    parts = max(LEAST_PARTS, -(-signed.count() // PART_ROWS))
+
+    def ask(table: pa.Table) -> pa.Table:
+        tok, node, _, _ = _prefixes(table)
+        keys, first, several = least_by_key(tok, node)
+        rows: list = []
+        send(rows, table.column("part")[0].as_py(), DIFFERS, parts, keys, np.where(several, 0, first))
+        return sent(rows)
+
+    def emit(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["token", "node", "n", "i"]
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 4, names)
+        cols = _prefixes(left)
+        keep = known(answers(right, DIFFERS), cols[0])
+        return pa.table([pa.array(c[keep].astype(np.int64)) for c in cols], names)
+
+    by_part = signed.where("node is not null").select(
+        F.pmod(F.xxhash64("_rid"), F.lit(parts)).cast("int").alias("part"), "node", "n", "prefix"
+    ).groupBy("part")
+    told = by_part.applyInArrow(ask, SENT).groupBy("bucket").applyInArrow(answer, ANSWER)
+    rows = by_part.cogroup(told.groupBy("part")).applyInArrow(
+        emit, "token long, node long, n long, i long")
+    return rows.groupBy("token", "node").agg(F.first("n").alias("n"), F.first("i").alias("i"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
             percent: int = PERCENT) -> DataFrame:
     """(_rid, id, n_shingles, root) of every row; rows with equal ``root`` are
@@ -238,22 +286,30 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                        F.col(text_col).alias("_text"))
     src = rows.select("_rid", "_text")
     signed = stored(_signatures(src, k, percent), "signatures")
-    nodes = signed.where("node is not null").groupBy("node").agg(
-        F.min("_rid").alias("_rid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = nodes.select("node", "n", F.posexplode("prefix").alias("i", "token"))
-    groups = tokens.groupBy("token").agg(
-        F.count("*").alias("g"), F.min(F.struct("i", "n", "node")).alias("lead")).where("g > 1")
-    groups = stored(groups, "groups")
-    shared = stored(tokens.join(groups.select("token", "g"), "token"), "shared")
+    common = stored(_shared_tokens(signed), "common")
+    groups = stored(common.groupBy("token").agg(
+        F.count("*").alias("g"), F.min(F.struct("i", "n", "node")).alias("lead")), "groups")
+    grouped = common.join(groups.select("token", "g"), "token")
+    heavy = grouped.groupBy("node").agg(F.sum((F.col("g") > GROUP).cast("long")).alias("h"),
+                                        F.sum((F.col("g") <= GROUP).cast("long")).alias("f"))
+    shared = stored(grouped.join(heavy, "node"), "shared")
 
     def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "i")])
+        return df.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "i", "h", "f")])
 
     few, many = shared.where(F.col("g") <= GROUP), shared.where(F.col("g") > GROUP)
+    nx, ny = F.col("x_n"), F.col("y_n")
+    outside = lambda n: F.floor((percent * n + 99) / 100) - 1  # noqa: E731  tokens behind the prefix
     listed = side(few, "x").join(side(few, "y"), "token").where(
-        (F.col("x_node") < F.col("y_node"))
-        & _possible(percent, F.col("x_n"), F.col("y_n"), F.col("x_i"), F.col("y_i"))
-    ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
+        (F.col("x_node") < F.col("y_node")) & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)))
+    listed = listed.groupBy("x_node", "y_node", "x_n", "y_n", "x_h", "y_h").agg(
+        F.count("*").alias("s"),
+        F.bool_or(_possible(percent, nx, ny, F.col("x_i"), F.col("y_i"))).alias("possible"))
+    # Tokens of large groups aren't counted here; all of them may be shared.
+    most = F.greatest(outside(nx), outside(ny)) + F.col("s") + F.least("x_h", "y_h")
+    listed = listed.where((F.col("possible") | (F.least("x_h", "y_h") > 0))
+                          & ((100 + percent) * most >= percent * (nx + ny))
+                          ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
     lead = groups.where(F.col("g") > GROUP).select(
         "token", F.col("lead.node").alias("y_node"), F.col("lead.n").alias("y_n"),
         F.col("lead.i").alias("y_i"))
@@ -263,9 +319,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
     first = stored(_ordered(listed.unionByName(starred)), "pairs")
 
-    wanted = (shared.select("node").distinct().join(nodes.select("node", "_rid"), "node")
-              .select("_rid"))
-    sets = stored(_sets(src, wanted, k, percent), "sets")
+    asked = (first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
+             .unionByName(many.select("node")).distinct())
+    wanted = signed.join(asked, "node", "left_semi").groupBy("node").agg(F.min("_rid").alias("_rid"))
+    sets = stored(_sets(src, wanted.select("_rid"), k, percent), "sets")
     links = stored(_linked(first, sets, percent), "links")
     found = stored(components(links), "components")
 
@@ -273,16 +330,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     known = many.join(found, "node", "left").withColumn("c", F.coalesce("root", "node"))
     lead_c = (lead.select("token", F.col("y_node").alias("node")).join(found, "node", "left")
               .select("token", F.coalesce("root", "node").alias("lead_c")))
-    known = stored(known.select("token", "node", "n", "i", "c"), "known")
+    known = stored(known.select("token", "node", "n", "i", "f", "c"), "known")
     minor = known.join(lead_c, "token").where("c != lead_c").select(
-        "token", *[F.col(v).alias(f"x_{v}") for v in ("node", "n", "i", "c")])
+        "token", *[F.col(v).alias(f"x_{v}") for v in ("node", "n", "i", "f", "c")])
     every = known.join(lead_c, "token").select(
         "token", (F.col("c") != F.col("lead_c")).alias("y_minor"),
-        *[F.col(v).alias(f"y_{v}") for v in ("node", "n", "i", "c")])
+        *[F.col(v).alias(f"y_{v}") for v in ("node", "n", "i", "f", "c")])
     rest = minor.join(every, "token").where(
         (F.col("x_c") != F.col("y_c")) & (~F.col("y_minor") | (F.col("x_node") < F.col("y_node")))
-        & _possible(percent, F.col("x_n"), F.col("y_n"), F.col("x_i"), F.col("y_i"))
-    ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
+        & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)))
+    # A token may give a pair either way round; all that follows is symmetric.
+    rest = rest.select(
+        F.least("x_node", "y_node").alias("x"), F.greatest("x_node", "y_node").alias("y"),
+        (nx + ny).alias("both"),
+        (F.greatest(outside(nx), outside(ny)) + F.least("x_f", "y_f")).alias("more"),
+        _possible(percent, nx, ny, F.col("x_i"), F.col("y_i")).alias("p"))
+    rest = rest.groupBy("x", "y", "both", "more").agg(
+        F.count("*").alias("s"), F.bool_or("p").alias("p")).where(
+        F.col("p") & ((100 + percent) * (F.col("more") + F.col("s")) >= percent * F.col("both")))
     rest = stored(_ordered(rest).join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = stored(_linked(rest, sets, percent), "links")
