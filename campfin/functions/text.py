@@ -41,15 +41,24 @@ def fit_text(c, size: int, is_char: bool) -> Column:
 def coerce_decimal(c, precision: int, scale: int) -> Column:
     """Raw text to decimal the way a lenient bulk loader does: ``\\N`` is NULL,
     otherwise the leading number ('12abc' -> 12), and 0 when there is none
-    ('' or 'abc').  A missing field (NULL input) stays NULL."""
+    ('' or 'abc').  A number that the type cannot hold becomes the nearest one
+    that it can.  A missing field (NULL input) stays NULL."""
     c = _col(c)
     dt = f"decimal({precision},{scale})"
     lead = F.regexp_extract(c, _LEADING_NUMBER, 1)
-    num = F.coalesce(lead.try_cast(dt), F.lit(0).cast(dt))
+    most = F.lit("9" * (precision - scale) + "." + "9" * scale).cast(dt)
+    bound = F.when(F.startswith(lead, F.lit("-")), -most).otherwise(most).cast(dt)
+    num = F.coalesce(lead.try_cast(dt), F.when(lead != "", bound), F.lit(0).cast(dt))
     return (F.when(c.isNull() | (c == F.lit(NULL_MARK)), F.lit(None).cast(dt))
             .otherwise(num))
 
 
+def out_of_range(c, precision: int, scale: int) -> Column:
+    """Whether the leading number of a raw text is more than the type holds."""
+    lead = F.regexp_extract(_col(c), _LEADING_NUMBER, 1)
+    return F.coalesce((lead != "") & lead.try_cast(f"decimal({precision},{scale})").isNull(), F.lit(False))
+
+
 def y2_of_year(year) -> Column:
     """Four-digit year to the two-digit cycle text: 2012 -> '12', 2004 -> '04'."""
     return F.right(_col(year).cast("string"), F.lit(2))

@@ -5,7 +5,7 @@ A global ``row_number() OVER (ORDER BY ...)`` runs in one task.  Instead the
 rows are range-partitioned on the order (sampled bounds, so a hot cycle is
 split over many tasks), sorted inside each partition, and numbered by
 position; a prefix sum of the per-partition counts (one value per
-partition, at most ``MAX_PARTS``, summed on the driver) gives each
+shuffle partition, summed on the driver) gives each
 partition's offset, applied as a literal map.  The numbered rows are
 checkpointed so that counts and positions come from the very same
 partitioning, also when tasks are retried; the counts are observed while
@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 from campfin.session import shared_dir
 
 _LOW_BITS = (1 << 33) - 1
-# Range partitions used for numbering (dimension-sized inputs): at most this
-# many, and at most twice the cores.
-MAX_PARTS = 64
 
 
 def assign_ids(df: DataFrame, order_cols: list[str], start: int = 0, id_col: str = "id",
@@ -44,8 +41,7 @@ def assign_ids_counted(df: DataFrame, order_cols: list[str], start: int = 0,
     """
     spark = df.sparkSession
     shared_dir(spark)
-    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              2 * spark.sparkContext.defaultParallelism, MAX_PARTS)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)

@@ -4,7 +4,8 @@ One aggregation over the landed lines (grouped by kind, so the result has a
 handful of rows): lines with fewer fields than the layout (missing fields
 load as NULL or the column default), lines with more (surplus ignored),
 ``\\N`` fields (NULL), numbers read leniently (empty, junk after the number
-or no number at all), and text cut to its column width.
+or no number at all), numbers beyond their type (stored as the nearest bound),
+and text cut to its column width.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campfin.functions.text import NULL_MARK
+from campfin.functions.text import NULL_MARK, out_of_range
 from campfin.schemas import D, FIELDS_BY_KIND
 
 _CLEAN_NUMBER = r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)\s*$"
-REPAIRS = ["short_lines", "long_lines", "null_fields", "lenient_numbers", "cut_text"]
+REPAIRS = ["short_lines", "long_lines", "null_fields", "lenient_numbers", "out_of_range", "cut_text"]
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -47,6 +48,10 @@ def repair_counts(lines: DataFrame) -> DataFrame:
                 terms.append(F.when(bad, 1).otherwise(0))
         return _sum(terms)
 
+    def beyond(fields):
+        return _sum([F.when(out_of_range(F.get(F.col("_f"), i), *size), 1).otherwise(0)
+                     for i, (_name, k, size, _nn) in enumerate(fields) if k == D])
+
     def cut(fields):
         terms = []
         for i, (_name, k, size, _nn) in enumerate(fields):
@@ -63,6 +68,7 @@ def repair_counts(lines: DataFrame) -> DataFrame:
         F.when(n > expected, 1).otherwise(0).alias("long_lines"),
         F.size(F.filter("_f", lambda x: x == F.lit(NULL_MARK))).alias("null_fields"),
         _per_kind(kind, numeric).alias("lenient_numbers"),
+        _per_kind(kind, beyond).alias("out_of_range"),
         _per_kind(kind, cut).alias("cut_text"))
     agg = per_line.groupBy("kind").agg(*[F.sum(r).cast("long").alias(r) for r in REPAIRS])
     stacked = ", ".join(f"'{r}', {r}" for r in REPAIRS)

@@ -15,15 +15,11 @@ _CHG_SRC = ("(SELECT y2, cmte_id, employer, occupation, transaction_dt, "
             "sub_id, k FROM src WHERE k % 10 = 3 OR k % 20 = 7)")
 
 
-def _with_k(sql: str) -> str:
-    return sql.replace("i.sub_id, i.y2\n", "i.sub_id, i.y2, i.k\n", 1)
-
-
 _CTES = f"""-- cte
 prev AS ({resolve_sql("(SELECT * FROM src WHERE k % 5 <> 4)")}),
 del AS (SELECT sub_id FROM src WHERE k % 10 IN (7, 9)),
-adds AS ({_with_k(resolve_sql(_ADD_SRC))}),
-chg AS ({_with_k(resolve_sql(_CHG_SRC))})"""
+adds AS ({resolve_sql(_ADD_SRC, more=" k,")}),
+chg AS ({resolve_sql(_CHG_SRC, more=" k,")})"""
 
 # Rows by priority: later batches outrank earlier ones, later lines outrank earlier.
 _LATEST = f"""

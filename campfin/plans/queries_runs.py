@@ -71,12 +71,12 @@ def q_decide_mode(spark, sf_dir):
 @register("history_append", _HIST_CTE + """
 SELECT id, date, eventType, shortMessage, longMessage FROM hist
 UNION ALL
-SELECT max(id) + 1, max(date) + INTERVAL 1 DAY, 's', 'Data updated',
+SELECT max(id) + 1, max(date) + INTERVAL 1 DAY, 's', 'Run complete',
        concat(CAST(count(*) AS string), ' rows logged before') FROM hist""")
 def q_history_append(spark, sf_dir):
     """K2: one log (all orders) plus a success note: id = max(id) + 1."""
     h = _history(spark, sf_dir).drop("log")
-    return with_note(h, "s", "Data updated",
+    return with_note(h, "s", "Run complete",
                      F.concat(F.count(F.lit(1)).cast("string"), F.lit(" rows logged before")),
                      now=F.max("date") + F.make_dt_interval(F.lit(1)))
 

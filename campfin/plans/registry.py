@@ -38,24 +38,27 @@ def register(name: str, sql: str | None):
     return deco
 
 
-DATE_SQL = ("TRY_CAST(concat(right({c}, 4), '-', left({c}, 2), '-', substring({c}, 3, 2)) "
+# The three positions put in reading order, then read by the calendar.
+DATE_SQL = ("CAST(try_strptime(left({c}, 2) || substring({c}, 3, 2) || right({c}, 4), '%m%d%Y') "
             "AS DATE)")
 
 RESOLVE_COLS = ["cm_id", "employer", "occupation", "transaction_dt", "transaction_amt",
                 "other_cm_id", "other_cn_id", "sub_id", "y2"]
 
-RESOLVE_SQL = """SELECT cm.id AS cm_id, i.employer, i.occupation,
-       {date} AS transaction_dt, i.transaction_amt,
-       ocm.id AS other_cm_id, ocn.id AS other_cn_id, i.sub_id, i.y2
-FROM {src} AS i
-LEFT JOIN cm ON i.cmte_id = cm.cm_id AND cm.y2 = i.y2
-LEFT JOIN cm AS ocm ON i.other_id = ocm.cm_id AND i.y2 = ocm.y2
-LEFT JOIN cn AS ocn ON i.other_id = ocn.cn_id AND i.y2 = ocn.y2
-WHERE i.sub_id <> 0"""
 
 
-def resolve_sql(src: str) -> str:
-    return RESOLVE_SQL.format(date=DATE_SQL.format(c="i.transaction_dt"), src=src)
+def id_sql(dimension: str, key: str, of: str) -> str:
+    """A filing's numbered committee or candidate, looked up as one value."""
+    return f"(SELECT d.id FROM {dimension} d WHERE d.y2 = f.y2 AND d.{key} = f.{of})"
+
+
+def resolve_sql(src: str, date_name: str = "transaction_dt", more: str = "") -> str:
+    """Every staged filing with a real sub_id, its ids looked up one by one."""
+    return f"""SELECT {id_sql('cm', 'cm_id', 'cmte_id')} AS cm_id, employer, occupation,
+       {DATE_SQL.format(c='transaction_dt')} AS {date_name}, transaction_amt,
+       {id_sql('cm', 'cm_id', 'other_id')} AS other_cm_id,
+       {id_sql('cn', 'cn_id', 'other_id')} AS other_cn_id,{more} sub_id, y2
+FROM {src} f WHERE sub_id <> 0"""
 
 
 # Resolved full load of indiv, as a CTE for later oracles.

@@ -76,7 +76,7 @@ def contributions(o: DataFrame) -> DataFrame:
         fec_key("C", F.col("o_custkey")).alias("cmte_id"),
         F.when(k % 2 == 0, F.lower("o_orderpriority"))
         .otherwise(F.concat("o_orderpriority", F.lit("  "))).alias("employer"),
-        F.concat("o_orderstatus", F.lit("-"), mm).alias("occupation"),
+        F.concat("o_orderstatus", F.lit("-Q"), F.quarter("dt").cast("string")).alias("occupation"),
         F.concat(mm, dd, F.year("dt").cast("string")).alias("transaction_dt"),
         F.col("amt").alias("transaction_amt"),
         F.when(k % 4 == 0, fec_key("C", F.col("o_custkey")))
@@ -164,7 +164,7 @@ src AS (
   SELECT y2, concat('C', lpad(CAST(o_custkey AS string), 8, '0')) AS cmte_id,
          CASE WHEN o_orderkey % 2 = 0 THEN lower(o_orderpriority)
               ELSE concat(o_orderpriority, '  ') END AS employer,
-         concat(o_orderstatus, '-', lpad(CAST(month(dt) AS string), 2, '0')) AS occupation,
+         concat(o_orderstatus, '-Q', CAST(quarter(dt) AS string)) AS occupation,
          concat(lpad(CAST(month(dt) AS string), 2, '0'), lpad(CAST(day(dt) AS string), 2, '0'),
                 CAST(year(dt) AS string)) AS transaction_dt,
          amt AS transaction_amt,

@@ -24,8 +24,9 @@ FIRST_CYCLE_YEAR = 2004
 EVENT_BEGIN, EVENT_SUCCESS, EVENT_FAILURE = "b", "s", "f"
 # A run is incremental only if the newest history row is a success younger than this.
 INCREMENTAL_MAX_AGE_DAYS = 13
-# ---------------------------------------------------------------------------
 
+# The file layouts below and the table columns after them are fixed values too
+# (names, order, kinds and sizes as declared by the source system).
 C, V, D = "char", "varchar", "decimal"
 
 # Candidate file, 15 fields.

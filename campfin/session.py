@@ -60,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="campfin-ckpt-", dir="/tmp")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir().rstrip("/")

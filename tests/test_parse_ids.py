@@ -91,3 +91,14 @@ def test_repair_counts(spark):
     assert got[("indiv", "null_fields")] == 1 and got[("indiv", "lenient_numbers")] == 1
     assert got[("indiv", "cut_text")] == 1
     assert got[("delete", "lenient_numbers")] == 1   # '' read as 0
+
+
+def test_numbers_beyond_their_type_become_the_nearest_bound(spark):
+    from campfin.functions.text import coerce_decimal
+    from campfin.operators.repairs import repair_counts
+    df = spark.createDataFrame([("40619201211600123456",), ("-99999999999999999999x",), ("12abc",), ("",), (None,)], "c string")
+    got = [str(r[0]) for r in df.select(coerce_decimal("c", 19, 0)).collect()]
+    assert got == ["9" * 19, "-" + "9" * 19, "12", "0", "None"]
+    lines = spark.createDataFrame([("delete", "40619201211600123456"), ("delete", "7")], "kind string, value string")
+    counts = {r["repair"]: r["count"] for r in repair_counts(lines).collect()}
+    assert counts["out_of_range"] == 1 and counts["lenient_numbers"] == 0
