@@ -43,7 +43,7 @@ ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: The frequent list: tokens seen ``LOCAL`` times among ``CHUNK`` shingles of
 #: a task, ``TOTAL`` times in sum, the ``LISTED`` most frequent.
 CHUNK, LOCAL, TOTAL, LISTED = 4_000_000, 2, 4, 500_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
                 np.uint64)
@@ -113,10 +113,14 @@ def frequent_tokens(src: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         held, size, seen = [], 0, set()
 
         def count() -> pa.RecordBatch:
-            tok, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(tok[keep]), pa.array(n[keep].astype(np.int64))],
-                                              ["token", "n"])
+            tok = np.concatenate(held)
+            held.clear()
+            tok.sort()
+            # only repeated tokens are copied: each stands once less often here
+            tok, n = np.unique(tok[1:][tok[1:] == tok[:-1]], return_counts=True)
+            keep = n + 1 >= LOCAL
+            return pa.RecordBatch.from_arrays(
+                [pa.array(tok[keep]), pa.array((n[keep] + 1).astype(np.int64))], ["token", "n"])
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 for text in batch.column(1).slice(at, 500).to_pylist():
@@ -128,7 +132,7 @@ def frequent_tokens(src: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                         size += len(s)
                 if size >= CHUNK:
                     yield count()
-                    held, size, seen = [], 0, set()
+                    size, seen = 0, set()
         if held:
             yield count()
 
