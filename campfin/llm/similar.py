@@ -340,18 +340,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     every = known.join(lead_c, "token").select(
         "token", (F.col("c") != F.col("lead_c")).alias("y_minor"),
         *[F.col(v).alias(f"y_{v}") for v in ("node", "n", "i", "f", "c")])
+    # A pair passes the bounds at its first shared token, so that one row of it
+    # is enough; rows at later tokens mostly fail them.
     rest = minor.join(every, "token").where(
         (F.col("x_c") != F.col("y_c")) & (~F.col("y_minor") | (F.col("x_node") < F.col("y_node")))
-        & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)))
-    # A token may give a pair either way round; all that follows is symmetric.
-    rest = rest.select(
-        F.least("x_node", "y_node").alias("x"), F.greatest("x_node", "y_node").alias("y"),
-        (nx + ny).alias("both"),
-        (F.greatest(outside(nx), outside(ny)) + F.least("x_f", "y_f")).alias("more"),
-        _possible(percent, nx, ny, F.col("x_i"), F.col("y_i")).alias("p"))
-    rest = rest.groupBy("x", "y", "both", "more").agg(
-        F.count("*").alias("s"), F.bool_or("p").alias("p")).where(
-        F.col("p") & ((100 + percent) * (F.col("more") + F.col("s")) >= percent * F.col("both")))
+        & _possible(percent, nx, ny, F.col("x_i"), F.col("y_i"))
+    ).select(F.col("x_node").alias("x"), F.col("y_node").alias("y"))
     rest = stored(_ordered(rest).join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = stored(_linked(rest, sets, percent), "links")
