@@ -231,15 +231,15 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     found, sorted, comma-joined), under names that no column has.
 
     Null texts stay null and texts without entities stay as they are; repeated
-    rows get the same surrogates; an empty table gives no rows.  Rows are told
-    by ``monotonically_increasing_id``, so ``docs`` should be read from
-    storage, where a repeated read gives the same."""
+    rows get the same surrogates; an empty table gives no rows.  The rows
+    with entities are numbered and written once: ids that a later read would
+    give follow its splits, which may have changed by then."""
     n_col, k_col = (_free(docs, c) for c in ("n_replaced", "kinds"))
     row = F.struct(*[docs[c] for c in docs.columns])
-    src = docs.select(row.alias("_row"), docs[text_col].alias("_text"),
-                      F.monotonically_increasing_id().alias("_rid"))
+    src = docs.select(row.alias("_row"), docs[text_col].alias("_text"))
     has = F.coalesce(F.rlike("_text", F.lit(PATTERN)), F.lit(False))
-    hit = src.where(has)
+    hit = stored(src.where(has).select("_row", F.monotonically_increasing_id().alias("_rid")), "hits")
+    hit = hit.withColumn("_text", F.col("_row").getField(text_col))
     seen = hit.select("_rid", F.inline(entities(F.col("_text")))).withColumn(
         "norm", normal(F.col("kind"), F.col("raw")))
     seen = stored(seen, "occurrences")

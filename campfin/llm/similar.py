@@ -279,15 +279,21 @@ def _shared_tokens(signed: DataFrame) -> DataFrame:
     return rows.groupBy("token", "node").agg(F.first("n").alias("n"), F.first("i").alias("i"))
 
 
+def numbered(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """(_rid, _row) of every row, written once: ids that a later read of
+    ``docs`` would give follow its splits, which may have changed by then."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("_rid"),
+                              F.struct(*[docs[c] for c in columns]).alias("_row")), "numbered")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
             percent: int = PERCENT) -> DataFrame:
     """(_rid, id, n_shingles, root) of every row; rows with equal ``root`` are
     one class, null roots (no words) stand alone.
 
-    ``_rid`` is ``monotonically_increasing_id`` of ``docs``, which should be
-    read from storage so that a repeated read gives the same."""
-    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"),
-                       F.col(text_col).alias("_text"))
+    ``docs`` is a table of ``numbered``."""
+    rows = docs.select("_rid", F.col("_row").getField(id_col).alias("_id"),
+                       F.col("_row").getField(text_col).alias("_text"))
     src = rows.select("_rid", "_text")
     signed = stored(_signatures(src, k, percent), "signatures")
     common = stored(_shared_tokens(signed), "common")
@@ -370,7 +376,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (null if there is none); an empty table gives no rows; other columns are
     not read.
     """
-    rows = stored(classes(docs, id_col, text_col, k, percent), "classes")
+    rows = numbered(docs, [id_col, text_col])
+    rows = stored(classes(rows, id_col, text_col, k, percent), "classes")
     least = rows.where("root is not null").groupBy("root").agg(F.min(id_col).alias("component_id"))
     full = rows.where("root is not null").join(least, "root").select(
         id_col, "n_shingles", "component_id")
@@ -383,11 +390,10 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs``, all columns, one for each class: the one with the
     smallest id (nulls last; of rows with the same id the first read).  Rows
     without words all stay."""
-    rows = stored(classes(docs, id_col, text_col, k, percent), "classes")
+    all_rows = numbered(docs, docs.columns)
+    rows = stored(classes(all_rows, id_col, text_col, k, percent), "classes")
     kept = (rows.where("root is not null").groupBy("root")
             .agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), "_rid")).alias("k"))
             .select(F.col("k._rid").alias("_kept"))
             .unionByName(rows.where("root is null").select(F.col("_rid").alias("_kept"))))
-    numbered = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
-                           F.monotonically_increasing_id().alias("_rid"))
-    return numbered.join(kept, F.col("_rid") == F.col("_kept"), "left_semi").select("_row.*")
+    return all_rows.join(kept, F.col("_rid") == F.col("_kept"), "left_semi").select("_row.*")
