@@ -7,6 +7,7 @@ a keyed hash: digits become digits and letters letters of the same script, a
 phone keeps its country code, a card its first digit and whether its checksum
 holds, an e-mail ends in a reserved domain, a name keeps script and gender.
 Written in another format the entity gets the same surrogate in that format.
+A titled name's other mentions in the same text, without title, follow it.
 
 Distinctness is checked over the whole corpus: a surrogate that another entity
 has taken, or that is itself an entity of the corpus, is drawn again (with one
@@ -24,14 +25,19 @@ from campfin.llm.components import stored
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d{1,2})"
 _MALE = "Mr|Mister|Herr|Herrn|Señor|Sr|Monsieur|господин"
 _FEMALE = "Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Srta|Madame|Mme|Mlle|госпожа"
+#: Names between a title and the last name found (a lookbehind is bounded).
+BEFORE = 6
 _NOT_IN_WORD, _WORD_ENDS = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 
 
 def _named(titles: str) -> str:
-    """A capitalised word after a title, or after a title and one such word."""
-    name = r"\p{Lu}[\p{L}'’-]{0,30}"
-    return (rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{titles})\.?\x20(?:{name}\x20)?)"
-            r"(\p{Lu}[\p{L}'’-]{1,60}+)")
+    """A capitalised word after a title, or after a title and up to
+    ``BEFORE`` such words or initials; a possessive 's stays outside."""
+    before = ""
+    for _ in range(BEFORE):  # a lookbehind takes no repeated group
+        before = rf"(?:(?:\p{{Lu}}\.|\p{{Lu}}[\p{{L}}'’-]{{0,30}})\x20{before})?"
+    return (rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{titles})\.?\x20{before})"
+            r"(\p{Lu}(?:[\p{L}-]|['’](?!s?(?!\p{L}))){0,60}+)")
 
 
 #: Kind and expression (one group each), in order of preference.
@@ -174,6 +180,40 @@ def _name(norm: Column, stream: Column, female: Column, draw: int) -> Column:
             .otherwise(syllables("bdfgklmnrstv", "eiou", "nrsl", "a")))
 
 
+def _name_like(raw: Column, s: Column) -> Column:
+    """A name's surrogate in capitals where the name is, else capitalised."""
+    return F.when((F.length(raw) > 1) & (F.upper(raw) == raw), F.upper(s)).otherwise(
+        F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
+
+
+def bare_mentions(gaps: Column, new: Column) -> Column:
+    """array of (text, n) of the texts between entities, with the capitalised
+    words that are names of the same text (``new``: i, r, norm or null, s)
+    replaced and counted.  A name that came after titles of both genders
+    follows the last before it.  Names of one letter are left alone."""
+    names = F.filter(new, lambda x: F.length(x["norm"]) > 1)
+    longest_first = F.sort_array(F.array_distinct(F.transform(
+        names, lambda x: F.struct((-F.length(x["norm"])).alias("l"), x["norm"].alias("norm")))))
+    pattern = F.concat(F.lit(_NOT_IN_WORD + r"(?=\p{Lu})((?iu:"),
+                       F.array_join(F.transform(longest_first, lambda x: x["norm"]), "|"),
+                       F.lit("))" + _WORD_ENDS))
+
+    def one(gap: Column, g: Column) -> Column:
+        def surrogate_of(w: Column) -> Column:
+            same = F.filter(names, lambda x: x["norm"] == F.lower(w))
+            before = F.filter(same, lambda x: x["i"] < g)
+            s = F.coalesce(F.get(before, F.size(before) - 1)["s"], F.get(same, F.lit(0))["s"])
+            return F.coalesce(_name_like(w, s), w)
+
+        found = F.regexp_extract_all(gap, pattern, F.lit(1))
+        text = F.array_join(F.zip_with(F.split(gap, pattern, -1), F.transform(found, surrogate_of),
+                                       lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+        return F.struct(text.alias("text"), F.size(found).alias("n"))
+
+    return F.when(F.size(names) > 0, F.transform(gaps, one)).otherwise(
+        F.transform(gaps, lambda gap: F.struct(gap.alias("text"), F.lit(0).alias("n"))))
+
+
 def rendered(kind: Column, raw: Column, norm: Column, s: Column) -> Column:
     """The surrogate in the format of this occurrence."""
     def in_format(wanted: str, lead: Column) -> Column:
@@ -194,9 +234,7 @@ def rendered(kind: Column, raw: Column, norm: Column, s: Column) -> Column:
 
     digits = F.length(F.regexp_replace(raw, "[^0-9]", ""))
     as_written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), cased), "")
-    shouted = (F.length(raw) > 1) & (F.upper(raw) == raw)
-    name = F.when(shouted, F.upper(s)).otherwise(
-        F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
+    name = _name_like(raw, s)
     return (F.when(kind.isin("card", "ssn"), in_format("0-9", F.lit(0)))
             .when(kind == "phone", in_format("0-9", digits - F.length(norm)))
             .when(kind == "iban", in_format("0-9A-Z", F.lit(0)))
@@ -244,15 +282,19 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
         "norm", normal(F.col("kind"), F.col("raw")))
     seen = stored(seen, "occurrences")
     made = surrogates(seen, key)
+    norm = F.when(F.col("kind").isin("name_m", "name_f"), F.col("norm"))
     new = (seen.join(made, ["kind", "norm"])
-           .select("_rid", "i", "kind", rendered(F.col("kind"), F.col("raw"), F.col("norm"), F.col("s")).alias("r"))
-           .groupBy("_rid").agg(F.sort_array(F.collect_list(F.struct("i", "r"))).alias("_new"),
+           .select("_rid", "i", "kind", norm.alias("name_norm"), "s",
+                   rendered(F.col("kind"), F.col("raw"), F.col("norm"), F.col("s")).alias("r"))
+           .groupBy("_rid").agg(F.sort_array(F.collect_list(F.struct("i", "r", F.col("name_norm").alias("norm"), "s"))).alias("_new"),
                                 F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("_kinds")))
-    joined = hit.join(new, "_rid")
-    gaps = F.split("_text", PATTERN, -1)
-    parts = F.zip_with(gaps, F.transform("_new", lambda x: x["r"]),
-                       lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
-    joined = joined.withColumns({"_text": F.array_join(parts, ""), "_n": F.size("_new").cast("long")})
+    joined = hit.join(new, "_rid").withColumn("_gaps", F.split("_text", PATTERN, -1))
+    joined = joined.withColumn("_gaps", bare_mentions(F.col("_gaps"), F.col("_new")))
+    parts = F.zip_with("_gaps", F.transform("_new", lambda x: x["r"]),
+                       lambda g, r: F.concat(g["text"], F.coalesce(r, F.lit(""))))
+    bare = F.aggregate("_gaps", F.lit(0), lambda a, g: a + g["n"])
+    joined = joined.withColumns({"_text": F.array_join(parts, ""),
+                                 "_n": (F.size("_new") + bare).cast("long")})
     plain = src.where(~has).select("_row", "_text", F.lit(0).cast("long").alias("_n"), F.lit("").alias("_kinds"))
     out = plain.unionByName(joined.select("_row", "_text", "_n", "_kinds"))
     cols = [F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns]
