@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campfin.llm import q_decontaminate, q_packing, q_pii, q_quality, q_secrets, q_similar, q_substrings, q_tokens, q_toxicity, q_urls
+from campfin.llm import (q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_secrets,
+                         q_similar, q_substrings, q_tokens, q_toxicity, q_urls)
 
-_MODULES = (q_decontaminate, q_packing, q_pii, q_quality, q_secrets, q_similar, q_substrings, q_tokens, q_toxicity, q_urls)
+_MODULES = (q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_secrets, q_similar,
+            q_substrings, q_tokens, q_toxicity, q_urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
