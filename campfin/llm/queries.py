@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campfin.llm import (q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_rules, q_secrets,
+from campfin.llm import (q_collocations, q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_rules, q_secrets,
                          q_similar, q_substrings, q_tokens, q_toxicity, q_urls)
 
-_MODULES = (q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_rules, q_secrets, q_similar,
+_MODULES = (q_collocations, q_conversations, q_decontaminate, q_packing, q_pii, q_quality, q_rules, q_secrets, q_similar,
             q_substrings, q_tokens, q_toxicity, q_urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

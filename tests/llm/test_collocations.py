@@ -1,0 +1,139 @@
+import collections
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from campfin.llm import collocations as m
+from campfin.llm.common import LOWER, UPPER
+from campfin.llm.collocations import Slice, count_phrases, count_words, mine_phrases, quicksort
+
+FOLD = str.maketrans(UPPER, LOWER)
+
+
+def pieces(text):
+    for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(FOLD)):
+        yield re.findall(r"[^\x20\x09]+", piece)
+
+
+def brute(docs, least, top):
+    f = collections.defaultdict(collections.Counter)
+    n = collections.Counter()
+    for lang, text in docs:
+        lang = lang or "und"
+        for w in pieces(text):
+            n[lang] += len(w)
+            for k in range(1, 6):
+                f[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in f.items():
+        cand = {p: a for p, a in c.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in cand.items():
+            if any(len(q) > len(p) and b >= a and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                   for q, b in cand.items()):
+                continue
+            s, _, left, right = min((1000 * a * n[lang] // (c[p[:k]] * c[p[k:]]), k, c[p[:k]], c[p[k:]])
+                                    for k in range(1, len(p)))
+            rows.append((-s, -a, " ".join(p).encode(), left, right))
+        for i, (s, a, p, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, i, p.decode(), -a, left, right, n[lang], -s))
+    return sorted(out)
+
+
+def made(n, seed):
+    rnd = random.Random(seed)
+    w = ["a", "B", "é", "über", "the", "of", "longer-word", "exactly8", "ninechars", "x" * 64, "x" * 65, "y" * 200]
+    docs = []
+    for i in range(n):
+        t = "".join(rnd.choice(w) + rnd.choice([" ", " ", " ", "\t ", ", ", ".", "\n", "\x0b", "  "])
+                    for _ in range(rnd.randint(0, 60)))
+        if i % 3 == 0:
+            t += " hot pair " + rnd.choice(w) + " " + rnd.choice(w) + ". " + "The very same passage of all words! " * 3
+        docs.append((rnd.choice(["en", "en", "de", None]), t))
+    return docs + [("en", None), ("en", ""), (None, " . "), ("fr", "one two")]
+
+
+def test_result_equals_brute_force(spark):
+    docs = made(250, 1)
+    df = spark.createDataFrame(docs, "lang string, text string").selectExpr(
+        "*", "'q' as w", "1 as n", "2 as depth", "'z' as word")
+    want = brute(docs, 7, 40)
+    for part in (10**6, 300):  # one part; many parts and heavy prefixes
+        got = sorted(tuple(r) for r in mine_phrases(df, least=7, top=40, part=part).collect())
+        assert got == want and len(got) > 80
+
+
+def test_heavy_prefixes_take_longer_routes(spark):
+    docs = [("en", f"hot pair {i % 7} {i % 11} {i}. same old words again now") for i in range(600)]
+    df = spark.createDataFrame(docs, "lang string, text string")
+    counted = count_words(df).where("depth > 0").collect()
+    hot = collections.defaultdict(list)
+    for r in counted:
+        if r["n"] >= 150:
+            hot[r["depth"]].append(r["key"])
+    assert set(hot) == {2, 3, 4}
+    words = {r["key"]: r["word"] for r in count_words(df).where("depth = 0").collect()}
+    plain, split = (sorted((" ".join(words[x] for x in r["w"]), r["f"]) for r in
+                           count_phrases(df, 4800, h, 20, 300).collect()) for h in ({}, dict(hot)))
+    assert plain == split and ("hot pair", 600) in split
+
+
+def test_slices_cut_long_texts_at_separators(monkeypatch):
+    text = ("one two, three four five. " * 400 + "z" * 900).encode()
+    monkeypatch.setattr(m, "SLICE", 100)
+    parts = list(m._cuts(text))
+    assert b"".join(parts) == text and len(parts) > 50
+    held = m.Held()
+    held.add(text)
+    held.settle()
+    h, left = held.columns()
+    whole = Slice([text])
+    assert (h == whole.hash).all() and (left == whole.left).all() and len(h) == 2001
+
+
+def test_words_of_a_slice():
+    texts = ["A bC\td, e", "É.f", "", " ", "!?", "x" * 63 + " " + "x" * 64 + " " + "x" * 65, "ab\0 ab"]
+    s = Slice([t.encode() for t in texts])
+    want = [(w, min(5, len(p) - i)) for t in texts for p in pieces(t) for i, w in enumerate(p)]
+    assert [(s.word(i), int(s.left[i])) for i in range(len(s.hash))] == want
+    by = collections.defaultdict(set)
+    for (w, _), h in zip(want, s.hash.tolist()):
+        by[w].add(h)
+    assert all(len(x) == 1 for x in by.values()) and len(set.union(*by.values())) == len(by)
+
+
+def test_quicksort_equals_counting():
+    rnd = np.random.default_rng(5)
+    for least in (1, 3, 20):
+        n = 600
+        cols = [rnd.integers(1, k, n).astype(np.int32) for k in (4, 6, 3, 9, 2)]
+        for d in range(1, 5):  # suffixes of different lengths
+            cols[d] = np.where((rnd.random(n) < 0.2) | (cols[d - 1] == 0), 0, cols[d])
+        weight = rnd.integers(1, 4, n)
+        want = collections.Counter()
+        for row, x in zip(np.stack(cols, 1).tolist(), weight.tolist()):
+            row = [v for v in row if v]
+            for k in range(2, len(row) + 1):
+                want[tuple(row[:k])] += x
+        got = quicksort(cols, weight, [0] + [least] * 5)
+        assert dict(got) == {p: c for p, c in want.items() if c >= least} and len(dict(got)) == len(got)
+
+
+def test_message_round_trip():
+    words = np.sort(np.random.default_rng(1).integers(1, 2**63, 500).astype(np.uint64))
+    ids = np.random.default_rng(2).integers(0, 40, (70, 5))
+    got_words, got, counts = m.read_message(*m._message(words, ids, np.arange(70)))
+    back = np.append(0, got_words)[got.T]
+    assert (back == np.append(0, words)[ids]).all() and (counts == np.arange(70)).all()
+
+
+def test_empty_table(spark):
+    assert mine_phrases(spark.createDataFrame([], "lang string, text string")).count() == 0
+    assert mine_phrases(spark.createDataFrame([("en", None)], "lang string, text string")).count() == 0
+
+
+def test_arrow_text_without_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array(["", "b c"])], ["lang", "text"])
+    assert sum(h.words for _, h in m.held_batches(iter([batch]))) == 2
