@@ -3,7 +3,8 @@
 One aggregation over the landed lines (grouped by kind, so the result has a
 handful of rows): lines with fewer fields than the layout (missing fields
 load as NULL or the column default), lines with more (surplus ignored),
-``\\N`` fields (NULL), numbers read leniently (empty, junk after the number
+``\\N`` fields (NULL), lines with any other escape, records that span lines,
+bytes that could not be decoded, numbers read leniently (empty, junk after the number
 or no number at all), numbers beyond their type (stored as the nearest bound),
 and text cut to its column width.
 """
@@ -15,11 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campfin.functions.text import NULL_MARK, out_of_range
-from campfin.schemas import D, FIELDS_BY_KIND
+from campfin.functions.text import ESCAPE, out_of_range, record_fields
+from campfin.schemas import D, DIMENSION_KINDS, FIELDS_BY_KIND
 
 _CLEAN_NUMBER = r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)\s*$"
-REPAIRS = ["short_lines", "long_lines", "null_fields", "lenient_numbers", "out_of_range", "cut_text"]
+_NULL_FIELD = r"(?<=\|)\\N(?=\|)"
+REPAIRS = ["short_lines", "long_lines", "null_fields", "escaped_lines", "joined_lines", "replaced_bytes",
+           "lenient_numbers", "out_of_range", "cut_text"]
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -34,8 +37,16 @@ def _per_kind(kind: Column, build) -> Column:
 
 
 def repair_counts(lines: DataFrame) -> DataFrame:
-    """(kind, repair, count) for landed lines with columns ``kind``, ``value``."""
-    f = lines.select("kind", F.split(F.col("value"), r"\|", -1).alias("_f"))
+    """(kind, repair, count) for landed lines with columns ``kind``, ``value``
+    (and ``y2``, ``replaced``)."""
+    cycle = F.coalesce(F.col("y2"), F.lit("")) if "y2" in lines.columns else F.lit("")
+    joint = F.when(F.col("kind").isin(DIMENSION_KINDS), F.concat(cycle, F.lit("|"))).otherwise("")
+    bad = F.coalesce(F.col("replaced"), F.lit(0)) if "replaced" in lines.columns else F.lit(0)
+    f = lines.select(
+        "kind", record_fields("value", joint).alias("_f"), bad.alias("replaced_bytes"),
+        F.when(F.contains(F.regexp_replace(F.concat(F.lit("|"), "value", F.lit("|")), _NULL_FIELD, ""),
+                          F.lit(ESCAPE)), 1).otherwise(0).alias("escaped_lines"),
+        F.when(F.contains("value", F.lit("\n")), 1).otherwise(0).alias("joined_lines"))
     n = F.size("_f")
     kind = F.col("kind")
 
@@ -44,7 +55,7 @@ def repair_counts(lines: DataFrame) -> DataFrame:
         for i, (_name, k, _size, _nn) in enumerate(fields):
             if k == D:
                 x = F.get(F.col("_f"), i)
-                bad = x.isNotNull() & (x != F.lit(NULL_MARK)) & ~x.rlike(_CLEAN_NUMBER)
+                bad = x.isNotNull() & ~x.rlike(_CLEAN_NUMBER)
                 terms.append(F.when(bad, 1).otherwise(0))
         return _sum(terms)
 
@@ -58,7 +69,7 @@ def repair_counts(lines: DataFrame) -> DataFrame:
             if k != D:
                 x = F.get(F.col("_f"), i)
                 width = F.length(F.rtrim(x)) if k == "char" else F.length(x)
-                terms.append(F.when((x != F.lit(NULL_MARK)) & (width > size), 1).otherwise(0))
+                terms.append(F.when(width > size, 1).otherwise(0))
         return _sum(terms)
 
     expected = _per_kind(kind, lambda fields: F.lit(len(fields)))
@@ -66,7 +77,8 @@ def repair_counts(lines: DataFrame) -> DataFrame:
         "kind",
         F.when(n < expected, 1).otherwise(0).alias("short_lines"),
         F.when(n > expected, 1).otherwise(0).alias("long_lines"),
-        F.size(F.filter("_f", lambda x: x == F.lit(NULL_MARK))).alias("null_fields"),
+        F.size(F.filter("_f", lambda x: x.isNull())).alias("null_fields"),
+        "escaped_lines", "joined_lines", "replaced_bytes",
         _per_kind(kind, numeric).alias("lenient_numbers"),
         _per_kind(kind, beyond).alias("out_of_range"),
         _per_kind(kind, cut).alias("cut_text"))

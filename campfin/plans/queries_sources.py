@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from campfin.sources.catalog import classify_archives, expected_files_for, manifest_diff
-from campfin.sources.ziplines import read_zip_lines, write_archives
+from campfin.functions.text import ESCAPE
+from campfin.sources.catalog import classify_archives, discover, expected_files_for, manifest_diff
+from campfin.sources.ziplines import encoding_of, read_archives, read_zip_lines, write_archives
 from campfin.plans.rawlines import line_sql, render_lines
 from campfin.plans.registry import register
 from campfin.plans.standins import build, read_table
@@ -127,6 +128,29 @@ def q_zip_lines(spark, sf_dir):
     s = build(spark, sf_dir)
     root = scratch_path(spark, "zip-lines")
     write_archives(render_lines(s.sindiv(), "indiv", "k"), root, "indiv").count()
-    lines = read_zip_lines(spark, root)
+    lines = read_zip_lines(spark, root, escape=ESCAPE)
     named = classify_archives(lines, "full")
     return named.select("y2", "kind", "value")
+
+
+# Text with a letter outside ASCII, written as ISO-8859-1 for cycles 96 and 00
+# and as UTF-8 for the others; 00 is read by the wrong encoding, so its letter
+# is one byte that can't be decoded.
+@register("zip_encodings", """
+SELECT y2, 'oth' AS kind,
+       concat('Caf', CASE WHEN y2 = '00' THEN chr(65533) ELSE chr(233) END, ' ', CAST(k AS string)) AS value,
+       CAST(CASE WHEN y2 = '00' THEN 1 ELSE 0 END AS int) AS replaced FROM src""")
+def q_zip_encodings(spark, sf_dir):
+    """Archives of two encodings read in one pass, each by its own; bytes
+    that can't be decoded are replaced and counted."""
+    s = build(spark, sf_dir)
+    root = scratch_path(spark, "zip-encodings")
+    lines = s.src.select("y2", F.concat(F.lit("Caf\u00e9 "), F.col("k").cast("string")).alias("value"),
+                         F.col("k").alias("_order"))
+    old = F.col("y2").isin("96", "00")
+    write_archives(lines.where(old), root, "oth", encoding="iso-8859-1").count()
+    write_archives(lines.where(~old), root, "oth").count()
+    found = discover(spark, root, "full").collect()  # one row per archive
+    archives = [(r["path"], i, r["kind"], r["y2"], encoding_of(r["path"], [("oth96", "iso-8859-1")]))
+                for i, r in enumerate(sorted(found, key=lambda r: r["path"]))]
+    return read_archives(spark, archives).select("y2", "kind", "value", "replaced")

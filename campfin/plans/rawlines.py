@@ -6,7 +6,8 @@ written into the line, and the typed value parsing must give.  Both are SQL
 expressions valid on Spark and DuckDB over the stand-in row (``n`` / ``k``
 is the numeric part of the row's key).  The lines include the awkward cases
 of a real feed: empty fields, ``\\N``, trailing spaces in fixed-width
-fields, overlong text, numbers with junk after them, short and long lines.
+fields, overlong text, numbers with junk after them, short and long lines,
+escaped bars, escape characters and line ends.
 """
 
 from __future__ import annotations
@@ -34,19 +35,27 @@ CN_SPEC = [
     ("cn_status", "''", "''"),
     ("cm_id", "concat('C', lpad(CAST(n AS string), 8, '0'))",
      "concat('C', lpad(CAST(n AS string), 8, '0'))"),
-    ("street1", "name", "name"),
-    ("street2", "''", "''"),
+    # An escaped bar in every third line, an escaped escape character in every fifth.
+    ("street1", "CASE WHEN n % 3 = 1 THEN concat('A', chr(92), '|B ', name) ELSE name END",
+     "CASE WHEN n % 3 = 1 THEN concat('A|B ', name) ELSE name END"),
+    ("street2", "CASE WHEN n % 5 = 0 THEN concat('C:', chr(92), chr(92), 'N') ELSE '' END",
+     "CASE WHEN n % 5 = 0 THEN concat('C:', chr(92), 'N') ELSE '' END"),
     ("city", "concat(name, '-', name)", "left(concat(name, '-', name), 18)"),
     ("state", "state", "state"),
-    ("zip", "lpad(CAST(n % 100000 AS string), 5, '0')",
-     "CASE WHEN n % 3 = 0 THEN " + NULL_STR + " ELSE lpad(CAST(n % 100000 AS string), 5, '0') END"),
+    # A record that goes on over a line end meets its cycle and a bar there; the
+    # text after them is a surplus field.
+    ("zip", "CASE WHEN n % 11 = 0 THEN concat('9', chr(92), chr(10), 'tail')"
+     " ELSE lpad(CAST(n % 100000 AS string), 5, '0') END",
+     "CASE WHEN n % 3 = 0 THEN " + NULL_STR + " WHEN n % 11 = 0 THEN concat('9', chr(10), y2)"
+     " ELSE lpad(CAST(n % 100000 AS string), 5, '0') END"),
 ]
 CN_SHORT, CN_CUT, CN_LONG = "n % 3 = 0", 1, None
 
 CM_SPEC = [
     ("cm_id", "cm_id", "cm_id"),
     ("name", "name", "name"),
-    ("treasurer", "concat('T ', name)", "concat('T ', name)"),
+    ("treasurer", "concat('T ', CASE WHEN n % 4 = 1 THEN concat(chr(92), 't', chr(92), '|') ELSE '' END, name)",
+     "concat('T ', CASE WHEN n % 4 = 1 THEN concat(chr(9), '|') ELSE '' END, name)"),
     ("street_1", NULL_MARK_SQL, NULL_STR),
     ("street_2", "''", "''"),
     ("city", "concat(name, name)", "left(concat(name, name), 18)"),
@@ -71,7 +80,12 @@ _CONTRIB_HEAD = [
     ("image_num", "lpad(CAST(k AS string), 11, '0')", "lpad(CAST(k AS string), 11, '0')"),
     ("transaction_tp", "'15'", "'15'"),
     ("entity_tp", "'IND'", "'IND'"),
-    ("name", "concat('DONOR ', CAST(k AS string))", "concat('DONOR ', CAST(k AS string))"),
+    # Escaped bar, escape character, letter and line end (no cycle follows in contribution files).
+    ("name", "concat('DONOR ', CASE k % 29 WHEN 0 THEN concat(chr(92), '|') WHEN 1 THEN concat(chr(92), chr(92))"
+     " WHEN 2 THEN concat('x', chr(92), 'N') WHEN 3 THEN concat(chr(92), chr(10), '2 ') ELSE '' END,"
+     " CAST(k AS string))",
+     "concat('DONOR ', CASE k % 29 WHEN 0 THEN '|' WHEN 1 THEN chr(92) WHEN 2 THEN 'xN'"
+     " WHEN 3 THEN concat(chr(10), '2 ') ELSE '' END, CAST(k AS string))"),
     ("city", "concat('CITY ', CAST(k % 97 AS string), '  ')",
      "concat('CITY ', CAST(k % 97 AS string), '  ')"),
     ("state", "CASE k % 2 WHEN 0 THEN 'N ' ELSE 'NY' END", "CASE k % 2 WHEN 0 THEN 'N' ELSE 'NY' END"),
