@@ -7,16 +7,19 @@ All lookups are left joins against dimensions with unique keys, so a fact row
 never multiplies.
 
 ``apply_increment`` is the add/change/delete batch in its fixed order —
-delete, then replace adds, then replace changes — as one plan.
+delete, then replace adds, then replace changes — as one plan.  A run works on
+one *tagged change set* instead (``tag_changes``): a row per sub_id with its
+last action and its counts, met once with the base's keys (``meet_base``), from
+which the touched cycles, every count of the report and the rewrite follow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campfin.functions.text import date_from_mmddyyyy
-from campfin.operators.lookup import Lookup, lookup
+from campfin.operators.lookup import Lookup, lookup, written
 from campfin.schemas import PRODUCTION_LIMITS, fact_schema
 
 
@@ -128,3 +131,84 @@ def apply_increment(facts: DataFrame, deletes: DataFrame, adds: DataFrame,
     kept = lookup(facts, key_lookup(touched), [("sub_id", "sub_id")], {}, how="left_anti",
                   salt_cols=["sub_id"])
     return kept.unionByName(latest.select(*facts.columns))
+
+
+# ------------------------------------------------------- tagged change set
+
+#: Actions of a batch in the order they apply (fixed).
+ACTIONS = ("delete", "add", "chg")
+
+
+def action_rank(kind) -> Column:
+    """0, 1, 2 for delete, add, chg."""
+    out = F.lit(None).cast("int")
+    for i, name in enumerate(ACTIONS):
+        out = F.when(kind == name, F.lit(i)).otherwise(out)
+    return out
+
+
+def tag_changes(actions: DataFrame, order: str) -> DataFrame:
+    """One row per sub_id of ``actions`` (sub_id, kind, y2, ``order``): deleted,
+    adds, chgs, and ``last`` = (rank, o, y2) of the action that has the last
+    word.  Partial aggregates absorb a hot sub_id; rows without a number (0)
+    change nothing."""
+    kind = F.col("kind")
+    last = F.struct(action_rank(kind).alias("rank"), F.col(order).alias("o"), F.col("y2").alias("y2"))
+    return (actions.where((F.col("sub_id") != 0) & kind.isin(*ACTIONS)).groupBy("sub_id").agg(
+        F.max(kind == "delete").alias("deleted"), F.count(F.when(kind == "add", 1)).alias("adds"),
+        F.count(F.when(kind == "chg", 1)).alias("chgs"), F.max(last).alias("last")))
+
+
+def meet_base(tags: DataFrame, base: DataFrame) -> DataFrame:
+    """``tags`` with ``base_y2``, the cycle of the production row of that
+    sub_id (NULL: there is none): the only pass over the base's keys."""
+    table = Lookup.of(tags.select("sub_id"))
+    hits = lookup(base.select("sub_id", F.col("y2").alias("base_y2")), table, [("sub_id", "sub_id")], {},
+                  how="left_semi", salt_cols=["sub_id"])
+    return written(tags.join(hits, "sub_id", "left"), "met")
+
+
+def change_counts(met: DataFrame) -> DataFrame:
+    """(metric, value) of a batch: rows deleted; rows that the add and the
+    change step touched, a replaced row counting twice (once removed, once
+    inserted); new sub_ids inserted; and production rows replaced."""
+    there = F.col("base_y2").isNotNull()
+    stays = there & ~F.col("deleted")
+    named = F.col("adds") + F.col("chgs") > 0
+
+    def one(c: Column) -> Column:
+        return F.when(c, 1).otherwise(0)
+
+    counts = {
+        "indiv deleted": one(there & F.col("deleted")),
+        "indiv added": F.when(F.col("adds") > 0, 2 * F.col("adds") - 1 + one(stays)),
+        "indiv changed": F.when(F.col("chgs") > 0, 2 * F.col("chgs") - 1 + one(stays | (F.col("adds") > 0))),
+        "indiv inserted": one(named & ~stays),
+        "indiv replaced": one(named & stays),
+    }
+    row = met.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in counts.items()])
+    stacked = ", ".join(f"'{n}', `{n}`" for n in counts)
+    return row.select(F.expr(f"stack({len(counts)}, {stacked}) AS (metric, value)"))
+
+
+def touched_cycles(met: DataFrame) -> list[str]:
+    """Cycles that a batch rewrites: of production rows with a named sub_id,
+    and of the rows that come in (a handful of values)."""
+    into = F.when(F.col("last.rank") > 0, F.col("last.y2"))
+    both = met.select(F.explode(F.array("base_y2", into)).alias("y2")).where("y2 is not null")
+    return sorted(r["y2"] for r in both.distinct().collect())
+
+
+def winners(staged: DataFrame, met: DataFrame, kind: str, order: str) -> DataFrame:
+    """The staged rows of one action kind that have the last word."""
+    mine = Lookup.of(met.where(F.col("last.rank") == ACTIONS.index(kind)).select(
+        "sub_id", F.col("last.o").alias("o")))
+    out = lookup(staged, mine, [("sub_id", "sub_id")], {"_o": "o"}, how="inner", salt_cols=["sub_id"])
+    return out.where(F.col("_o") == F.col(order)).drop("_o")
+
+
+def rewritten(base: DataFrame, met: DataFrame, rows: DataFrame) -> DataFrame:
+    """Base rows whose sub_id no action names, and the winning ``rows``."""
+    gone = Lookup.of(met.where("base_y2 is not null").select("sub_id"))
+    kept = lookup(base, gone, [("sub_id", "sub_id")], {}, how="left_anti", salt_cols=["sub_id"])
+    return kept.unionByName(rows.select(*base.columns))

@@ -3,23 +3,20 @@ the largest id already issued.
 
 A global ``row_number() OVER (ORDER BY ...)`` runs in one task.  Instead the
 rows are range-partitioned on the order (sampled bounds, so a hot cycle is
-split over many tasks), sorted inside each partition, and numbered by
-position; a prefix sum of the per-partition counts (one value per
-shuffle partition, summed on the driver) gives each
-partition's offset, applied as a literal map.  The numbered rows are
-checkpointed so that counts and positions come from the very same
-partitioning, also when tasks are retried; the counts are observed while
-the checkpoint is written.
+split over many tasks), sorted inside each partition, numbered by position,
+and written to the shared folder, so that counts and positions come from the
+very same partitioning, also when tasks are retried.  The rows per partition
+are one grouped count over a single column of what was written; their running
+sum (one row per partition) gives each partition's offset, joined back as a
+broadcast of that many rows.  The plan is the same for any number of partitions.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campfin.session import shared_dir
+from campfin.operators.lookup import written
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -40,29 +37,18 @@ def assign_ids_counted(df: DataFrame, order_cols: list[str], start: int = 0,
     input is partitioned.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
+    numbered = written(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-        .drop("_mid")
-    )
-    # Rows per range partition (largest position + 1), observed while the
-    # checkpoint is written: no second pass.  One slot per partition, so the
-    # result is bounded by n.
-    obs = Observation(f"campfin-ids-{uuid.uuid4().hex}")
-    last = F.array(*[F.max(F.when(F.col("_pid") == i, F.col("_pos"))) for i in range(n)])
-    numbered = ranged.observe(obs, last.alias("last")).checkpoint(eager=True)
-    sizes = [(p + 1 if p is not None else 0) for p in obs.get["last"]]
-    offsets, acc = {}, start
-    for pid, size in enumerate(sizes):
-        offsets[pid] = acc
-        acc += size
-    table = F.create_map(*[F.lit(x).cast("long") for kv in offsets.items() for x in kv])
-    out = (numbered.withColumn(id_col, (F.element_at(table, F.col("_pid")) + F.col("_pos") + 1)
-                               .cast("long"))
-           .drop("_pid", "_pos"))
-    return out, acc - start
+        .drop("_mid"), "ids")
+    sizes = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    out = (numbered.join(F.broadcast(offsets), "_pid")  # one row per partition
+           .withColumn(id_col, (F.col("_before") + F.col("_pos") + 1 + F.lit(start)).cast("long"))
+           .drop("_pid", "_pos", "_before"))
+    return out, numbered.count()

@@ -2,39 +2,73 @@
 
 Strategy, chosen per lookup table:
 
-* broadcast hash join when the lookup's row count is under a checked bound
-  (``campfin.broadcast.maxRows``, default 1,000,000 narrow rows);
-* otherwise a salted shuffle join: every lookup row is copied into
-  ``campfin.salt.buckets`` buckets and each large-side row picks one bucket by
-  a hash of its own columns, so one hot key (say a conduit committee holding a
-  third of all contributions) is spread over that many tasks instead of one.
+* broadcast hash join when the lookup's rows and their measured bytes are under
+  checked bounds (``campfin.broadcast.maxRows`` / ``.maxBytes``);
+* otherwise a shuffle join that splits **heavy keys only**.  A sketch of bounded
+  size (``approx_top_k``) over the large side's keys tells which keys hold more
+  than their share of rows; rows with such a key pick one of
+  ``campfin.salt.buckets`` buckets, and only those keys' lookup rows are copied
+  into all buckets.  All other keys keep one bucket, so the lookup side grows
+  by a handful of rows.  A conduit committee holding a third of all
+  contributions is spread over that many tasks; AQE does the rest.
+
+Keys that can match nothing don't travel: a NULL key never equals anything, and
+an empty text only where the lookup holds one (seen when it is measured).  In
+left joins such rows pass beside the shuffle join.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from campfin.session import shared_dir
+from campfin.session import scratch_path, shared_dir
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 DEFAULT_SALT_BUCKETS = 16
+#: A key is heavy from this share of the large side's rows on; the sketch holds
+#: a fixed number of keys, well above 1 / share.
+HEAVY_SHARE, HEAVY_KEYS, SKETCH_ITEMS = 0.01, 100, 2000
+#: Bytes of a row and of each column that is no text.
+_ROW_BYTES, _CELL_BYTES, _TEXT_BYTES = 24, 16, 24
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
+def _is_text(f: T.StructField) -> bool:
+    return isinstance(f.dataType, T.StringType)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    size = F.lit(_ROW_BYTES)
+    for f in df.schema.fields:
+        size = size + (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if _is_text(f) else F.lit(_CELL_BYTES))
+    return size
+
+
+def _measures(df: DataFrame) -> list[Column]:
+    """Rows, bytes, and for every text column whether it holds ''."""
+    out = [F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")]
+    return out + [F.max(F.col(f.name) == "").alias(f"empty_{f.name}") for f in df.schema.fields if _is_text(f)]
+
+
 @dataclass
 class Lookup:
     """A lookup table plus the join strategy decided for it."""
     df: DataFrame
     broadcast: bool
     salt_buckets: int
+    rows: int = -1
+    #: Text columns known to hold no ''.
+    never_empty: frozenset = field(default_factory=frozenset)
 
     @classmethod
     def of(cls, df: DataFrame, max_rows: int | None = None,
@@ -42,21 +76,45 @@ class Lookup:
            rows: int | None = None) -> "Lookup":
         """Decide the strategy for ``df``.
 
-        ``materialize`` checkpoints ``df`` first (into ``spark.checkpoint.dir``)
-        when it is derived from a large input, so that the size check and the
-        join do not both recompute it; its rows are counted while written.  ``rows`` is a row count already known
-        (then no counting job runs)."""
+        ``materialize`` writes ``df`` to the shared folder first when it is
+        derived from a large input, so that the size check and the join do not
+        both recompute it; it is measured while written.  ``rows`` is a row
+        count already known (then no job runs, and bytes follow from the
+        column types)."""
         max_rows = max_rows if max_rows is not None else _conf_int(
             df, "campfin.broadcast.maxRows", DEFAULT_MAX_BROADCAST_ROWS)
+        max_bytes = _conf_int(df, "campfin.broadcast.maxBytes", DEFAULT_MAX_BROADCAST_BYTES)
         buckets = salt_buckets or _conf_int(df, "campfin.salt.buckets", DEFAULT_SALT_BUCKETS)
+        if rows is not None and not materialize:
+            width = _ROW_BYTES + sum(_TEXT_BYTES if _is_text(f) else _CELL_BYTES for f in df.schema.fields)
+            return cls(df, rows <= max_rows and rows * width <= max_bytes, buckets, rows)
         if materialize:
-            shared_dir(df.sparkSession)
-            obs = Observation(f"campfin-lookup-{uuid.uuid4().hex}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-            rows = obs.get["rows"]
-        if rows is None:
-            rows = df.count()  # partial counts, no row leaves its task
-        return cls(df, rows <= max_rows, buckets)
+            seen = Observation(f"campfin-lookup-{uuid.uuid4().hex}")
+            df = written(df.observe(seen, *_measures(df)), "lookup")
+            got = seen.get
+        else:
+            got = df.agg(*_measures(df)).first().asDict()  # partial sums, no row leaves its task
+        size = got["bytes"] or 0
+        never = frozenset(k[6:] for k, v in got.items() if k.startswith("empty_") and not v)
+        return cls(df, got["rows"] <= max_rows and size <= max_bytes, buckets, got["rows"], never)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, survives
+    lost executors, and later reads take only the columns they need."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def heavy_keys(big: DataFrame, key: Column, share: float = HEAVY_SHARE) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the rows, at most
+    ``HEAVY_KEYS`` of them, from one pass with a sketch of fixed size."""
+    got = big.select(F.xxhash64(key).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [t["item"] for t in got["top"] or [] if t["count"] >= max(share * got["n"], 2)]
 
 
 def lookup(big: DataFrame, table: Lookup, on: list[tuple[str, str]],
@@ -74,20 +132,41 @@ def lookup(big: DataFrame, table: Lookup, on: list[tuple[str, str]],
     if table.broadcast:
         cond = _cond(big, right, keys)
         out = big.join(F.broadcast(right), cond, how)
-    else:
-        n = table.salt_buckets
-        cols = salt_cols or big.columns
-        big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)))
-        right = right.withColumn("_rsalt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        cond = _cond(big, right, keys) & (big["_salt"] == right["_rsalt"])
-        out = big.join(right, cond, how).drop("_salt")
-        if how in ("left", "inner"):
-            out = out.drop("_rsalt")
+        return out.drop(*[k for _a, k in keys]) if how in ("left", "inner") else out
+    columns = big.columns
+    hopeless = _hopeless(big, table, on)
+    travelling = big.where(~hopeless)
+    heavy = heavy_keys(travelling, F.struct(*[F.col(a) for a, _k in keys]))
+    n = table.salt_buckets
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols or columns]), F.lit(n)).cast("int")
+    big_hash, right_hash = (F.xxhash64(F.struct(*[F.col(c).cast(big.schema[a].dataType) for c, a in zip(cs, [x for x, _ in keys])]))
+                            for cs in ([a for a, _k in keys], [k for _a, k in keys]))
+    salted = travelling.withColumn("_salt", F.when(big_hash.isin(heavy), spread).otherwise(0) if heavy else F.lit(0))
+    all_buckets, one = F.sequence(F.lit(0), F.lit(n - 1)), F.array(F.lit(0))
+    right = right.withColumn("_rsalt", F.explode(F.when(right_hash.isin(heavy), all_buckets).otherwise(one)
+                                                 if heavy else one))
+    cond = _cond(salted, right, keys) & (salted["_salt"] == right["_rsalt"])
+    out = salted.join(right, cond, how).drop("_salt")
     if how in ("left", "inner"):
-        out = out.drop(*[k for _a, k in keys])
+        out = out.drop("_rsalt", *[k for _a, k in keys])
+    if how == "left":
+        out = out.unionByName(big.where(hopeless).select(
+            *columns, *[F.lit(None).cast(table.df.schema[src].dataType).alias(dst) for dst, src in take.items()]))
+    elif how == "left_anti":
+        out = out.unionByName(big.where(hopeless).select(*columns))
     return out
 
 
+def _hopeless(big: DataFrame, table: Lookup, on: list[tuple[str, str]]) -> Column:
+    """Whether a row's key can match nothing."""
+    out = F.lit(False)
+    for a, b in on:
+        out = out | F.col(a).isNull()
+        if b in table.never_empty and _is_text(big.schema[a]):
+            out = out | (F.col(a) == "")
+    return F.coalesce(out, F.lit(True))
+
+
 def _cond(big: DataFrame, right: DataFrame, keys) -> Column:
     cond = None
     for a, k in keys:

@@ -179,19 +179,92 @@ def q_run_report(spark, sf_dir):
     return runs.run(spark, TableStore(spark), feed, mode=runs.FULL).report
 
 
-@register("stream_changes_cm_meta", ORACLE["incremental_run_cm_meta"][len(STANDIN_SQL):].lstrip(", \n"))
+_INCREMENTAL_META = ORACLE["incremental_run_cm_meta"][len(STANDIN_SQL):].lstrip(", \n")
+
+
+def _previous_state(spark, sf_dir):
+    s = build(spark, sf_dir)
+    store = TableStore(spark)
+    runs.run(spark, store, write_feed(spark, full_feed(s, s.prev_indiv_src())), mode=runs.FULL)
+    return s, store
+
+
+def _until_done(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+# Counts of the incremental run, step by step: what stands after each step, and
+# how many rows a step removes and inserts.
+@register("incremental_run_report", _PARSED + """,
+base AS (SELECT sid FROM srcp WHERE k % 5 <> 4 AND sid <> 0),
+del AS (SELECT DISTINCT sub_id AS sid FROM src WHERE k % 10 IN (7, 9)),
+adds AS (SELECT sid FROM p WHERE (k % 5 = 4 OR k % 10 = 0) AND sid <> 0),
+chgs AS (SELECT sid FROM p WHERE (k % 10 = 3 OR k % 20 = 7) AND sid <> 0),
+rest AS (SELECT sid FROM base WHERE sid NOT IN (SELECT sid FROM del)),
+added AS (SELECT sid FROM rest UNION SELECT sid FROM adds),
+final AS (SELECT sid FROM added UNION SELECT sid FROM chgs),
+named AS (SELECT sid FROM adds UNION SELECT sid FROM chgs),
+allrows AS (
+  SELECT y2, cmte_id, sid, 0 AS prio, k FROM srcp WHERE k % 5 <> 4 AND sid <> 0
+  UNION ALL SELECT y2, cmte_id, sid, 1, k FROM p WHERE (k % 5 = 4 OR k % 10 = 0) AND sid <> 0
+  UNION ALL SELECT y2, cmte_id, sid, 2, k FROM p WHERE (k % 10 = 3 OR k % 20 = 7) AND sid <> 0),
+latest AS (SELECT * FROM allrows
+           QUALIFY row_number() OVER (PARTITION BY sid ORDER BY prio DESC, k DESC) = 1)
+SELECT 'lines cn' AS metric, count(*) AS value FROM scn
+UNION ALL SELECT 'lines cm', count(*) FROM scm
+UNION ALL SELECT 'lines add', count(*) FROM src WHERE k % 5 = 4 OR k % 10 = 0
+UNION ALL SELECT 'lines chg', count(*) FROM src WHERE k % 10 = 3 OR k % 20 = 7
+UNION ALL SELECT 'lines delete', count(*) FROM src WHERE k % 10 IN (7, 9)
+UNION ALL SELECT 'lines oth', count(*) FROM src{oth}
+UNION ALL SELECT 'lines pas2', count(*) FROM src{pas2}
+UNION ALL SELECT 'cn matched', count(*) FROM scn UNION ALL SELECT 'cn updated', 0
+UNION ALL SELECT 'cn inserted', 0
+UNION ALL SELECT 'cm matched', count(*) FROM scm UNION ALL SELECT 'cm updated', 0
+UNION ALL SELECT 'cm inserted', 0
+UNION ALL SELECT 'pas2 duplicates dropped', 0
+UNION ALL SELECT 'oth duplicates dropped', 0
+UNION ALL SELECT 'pas2 rows', count(*) FROM (SELECT * FROM srcp{pas2}) x WHERE sid <> 0
+UNION ALL SELECT 'oth rows', count(*) FROM (SELECT * FROM srcp{oth}) x WHERE sid <> 0
+UNION ALL SELECT 'indiv deleted', count(*) FROM base WHERE sid IN (SELECT sid FROM del)
+UNION ALL SELECT 'indiv added', count(*) + count(*) FILTER (sid IN (SELECT sid FROM rest)) FROM adds
+UNION ALL SELECT 'indiv changed', count(*) + count(*) FILTER (sid IN (SELECT sid FROM added)) FROM chgs
+UNION ALL SELECT 'indiv inserted', count(*) FROM named WHERE sid NOT IN (SELECT sid FROM rest)
+UNION ALL SELECT 'indiv replaced', count(*) FROM named WHERE sid IN (SELECT sid FROM rest)
+UNION ALL SELECT 'indiv rows', count(*) FROM (
+  SELECT sid FROM rest WHERE sid NOT IN (SELECT sid FROM named) UNION ALL SELECT sid FROM named) x
+UNION ALL SELECT 'cmMeta rows', count(DISTINCT cm.id)
+          FROM latest AS r JOIN cm ON r.cmte_id = cm.cm_id AND r.y2 = cm.y2
+          WHERE r.prio > 0 OR r.sid NOT IN (SELECT sid FROM del)""".format(
+    oth=" WHERE k % 3 = 1", pas2=" WHERE k % 3 = 2"))
+def q_incremental_run_report(spark, sf_dir):
+    """The counts an incremental run reports, from its tagged change set."""
+    s, store = _previous_state(spark, sf_dir)
+    return runs.run(spark, store, write_feed(spark, incremental_feed(s)), mode=runs.INCREMENTAL).report
+
+
+@register("stream_changes_cm_meta", _INCREMENTAL_META)
 def q_stream_changes_cm_meta(spark, sf_dir):
     """The change stream: a full run over the previous state, the change
     archives landed as bronze lines, then applied by a Structured Streaming
     query (available-now trigger); the resulting cmMeta equals the
     incremental run's."""
-    s = build(spark, sf_dir)
-    store = TableStore(spark)
-    runs.run(spark, store, write_feed(spark, full_feed(s, s.prev_indiv_src())), mode=runs.FULL)
+    s, store = _previous_state(spark, sf_dir)
     bronze = scratch_path(spark, "bronze-changes")
-    runs.land(spark, write_feed(spark, incremental_feed(s)), runs.INCREMENTAL, bronze=bronze)
-    q = increments.start(spark, store, bronze)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    increments.land_delivery(spark, write_feed(spark, incremental_feed(s)), bronze, 1)
+    _until_done(increments.start(spark, store, bronze))
+    return store.read("cmMeta")
+
+
+@register("stream_split_delivery_cm_meta", _INCREMENTAL_META)
+def q_stream_split_delivery_cm_meta(spark, sf_dir):
+    """A delivery that arrives over three polls in the wrong order (changes,
+    then adds, then deletes) gives what it gives whole."""
+    s, store = _previous_state(spark, sf_dir)
+    lines = runs.land(spark, write_feed(spark, incremental_feed(s)), runs.INCREMENTAL)
+    bronze, checkpoint = scratch_path(spark, "bronze-split"), scratch_path(spark, "split-checkpoint")
+    for kind in ("chg", "add", "delete"):
+        lines.where(F.col("kind") == kind).write.mode("append").partitionBy("kind").parquet(f"{bronze}/delivery=1")
+        _until_done(increments.start(spark, store, bronze, checkpoint))
     return store.read("cmMeta")

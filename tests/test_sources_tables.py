@@ -2,9 +2,11 @@ import os
 import tempfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from campfin.plans.tables import TableStore
+from campfin.plans import tables
+from campfin.plans.tables import CommitConflict, TableStore
 from campfin.sources.catalog import (
     classify_archives, discover, expected_files, manifest_diff,
 )
@@ -83,18 +85,19 @@ def test_table_store_versions_and_cycles(spark):
     assert store.read("indiv").where("y2 = '10'").count() == 0
 
 
-def test_half_written_version_is_invisible(spark):
-    """A manifest version without its commit marker (a publish that died
-    before the switch) is never read."""
+def test_half_written_version_is_invisible(spark, monkeypatch):
+    """A manifest without content (its writer died before the switch) is never read."""
     store = TableStore(spark)
     schema = "cm_id long, contribSum decimal(24,2), contribCount long"
     store.publish("cmMeta", spark.createDataFrame([(1, None, 1)], schema))
-    broken = f"{store._manifest_dir('cmMeta')}/v=2".replace("file:", "", 1)
-    os.makedirs(broken)
-    with open(os.path.join(broken, "manifest.parquet"), "wb") as fh:
-        fh.write(b"partial")
+    broken = store._marker("cmMeta", 2).replace("file:", "", 1)
+    open(broken, "wb").close()
     assert store.versions("cmMeta") == [1]
     assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [1]
-    # The next publish still gets a fresh, committed version above the broken one.
+    # Another writer can't pass it (it may still be alive) and says which file.
+    monkeypatch.setattr(tables, "PATIENCE", 0.3)
+    with pytest.raises(CommitConflict, match="v=0000000002"):
+        store.publish("cmMeta", spark.createDataFrame([(3, None, 2)], schema))
+    os.unlink(broken)
     store.publish("cmMeta", spark.createDataFrame([(3, None, 2)], schema))
     assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [3]
