@@ -18,13 +18,29 @@ DataFrame expressions.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campfin.llm.components import stored
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d{1,2})"
-_MALE = "Mr|Mister|Herr|Herrn|Señor|Sr|Monsieur|господин"
-_FEMALE = "Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Srta|Madame|Mme|Mlle|госпожа"
+_MALE = r"Mr|Mister|Herr|Herrn|Señor|Sr|Don|Monsieur|(?<!\p{Lu}\.\x20)M(?=\.)|господин"
+_FEMALE = "Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Srta|Doña|Madame|Mme|Mlle|госпожа"
+#: A text with a name has one of these (the titles' beginnings), with any other
+#: entity an at sign or a digit.  Literal tests, before any pattern runs.
+_LITERALS = ("@", "Mr", "Mister", "Ms", "Miss", "Herr", "Frau", "Señor", "Sr", "Don", "Doña", "Monsieur", "M.",
+             "Madame", "Mme", "Mlle", "господин", "госпожа")
+#: Ordinary words that are also names (fixed values): without title they follow
+#: a name only inside a clause or beside another name of the text.
+_ORDINARY = ("art bell best bill black bond book brown bush carol church cook dawn drew english faith fair field "
+             "fish forest frank french good grace grant gray green hall hand hill hope hunt jack joy june king law "
+             "lee little long love mark marsh may miles miller moon moore mount noble north page park pat penny pope "
+             "price ray read rich rock rose sandy short smart snow south spring star stone strong sunny sweet swift "
+             "victor violet wall ward waters west white will wise wolf wood woods young "
+             "groß klein lang kurz schwarz weiß braun jung stark kaiser könig bauer koch sommer winter herbst morgen "
+             "petit grand blanc noir roux rose pierre fontaine dubois leblanc legrand marin "
+             "blanco rojo moreno bueno bello ángel rey santos cruz paz sol luz")
 #: Names between a title and the last name found (a lookbehind is bounded).
 BEFORE = 6
 _NOT_IN_WORD, _WORD_ENDS = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
@@ -53,12 +69,18 @@ KINDS = (
     ("name_f", _named(_FEMALE)),
 )
 PATTERN = "|".join(p for _, p in KINDS)
-#: Draws before giving up (the space of a kind's surrogates grows on the way).
-DRAWS = 64
 _PLAIN, _CYRILLIC, _GREEK = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщыэюя",
                              "αβγδεζηθικλμνξοπρστυφχψω")
 
 
+def may_have(text: Column) -> Column:
+    """Whether a text has anything that an entity can't do without."""
+    out = F.rlike(text, F.lit("[0-9]"))
+    for x in _LITERALS:
+        out = out | F.contains(text, F.lit(x))
+    return out
+
+
 def entities(text: Column) -> Column:
     """array of (i, kind, raw) of the matches in a text, in order."""
     by_kind = [F.regexp_extract_all(text, F.lit(PATTERN), F.lit(k + 1)) for k in range(len(KINDS))]
@@ -79,11 +101,24 @@ def normal(kind: Column, raw: Column) -> Column:
     digits = F.regexp_replace(raw, "[^0-9]", "")
     national = F.when((F.length(digits) == 11) & F.startswith(digits, F.lit("1")),
                       F.substring(digits, 2, 10)).otherwise(digits)
-    return (F.when(kind == "phone", national).when(kind.isin("card", "ssn"), digits)
+    abroad = F.startswith(raw, F.lit("+")) & (F.length(national) == F.length(digits))
+    phone = F.when(abroad, F.concat(F.lit("+"), digits)).otherwise(national)
+    return (F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits)
             .when(kind == "iban", F.regexp_replace(raw, " ", ""))
             .when(kind == "ip", raw).otherwise(F.lower(raw)))
 
 
+#: Country codes of two digits (fixed values); 1 and 7 have one, others three.
+_TWO = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 "
+        "84 86 90 91 92 93 94 95 98").split()
+
+
+def country_code(norm: Column) -> Column:
+    """The plus sign and country code that an international number begins with."""
+    n = (F.when(F.substring(norm, 2, 1).isin("1", "7"), 2).when(F.substring(norm, 2, 2).isin(*_TWO), 3).otherwise(4))
+    return F.when(F.startswith(norm, F.lit("+")), F.substring(norm, F.lit(1), n)).otherwise("")
+
+
 def _stream(key: str, *parts: Column) -> Column:
     """128 keyed hex digits."""
     seed = F.concat_ws("|", F.lit(key), *parts)
@@ -155,8 +190,9 @@ def surrogate(key: str, kind: Column, norm: Column, draw: int) -> Column:
         check = F.pmod(10 - F.pmod(_luhn(F.concat(whole, F.lit("0"))), F.lit(10)), F.lit(10))
         card = F.concat(whole, F.when(F.pmod(_luhn(norm), F.lit(10)) == 0, check).otherwise(
             F.pmod(check + 1, F.lit(10))).cast("string"))
-    phone = F.concat(_pick("23456789", _byte(stream, F.lit(1))),
-                     F.substring(mapped, F.lit(2), n), longer)
+    code = country_code(norm)
+    phone = F.concat(code, _pick("23456789", _byte(stream, F.lit(1))),
+                     F.substring(mapped, F.length(code) + 2, n), longer)
     iban = F.concat(F.substring(norm, 1, 2), F.substring(mapped, F.lit(3), n), longer)
     name = _name(norm, stream, kind == "name_f", draw)
     return (F.when(kind == "email", email).when(kind == "ip", F.concat_ws(".", *octets))
@@ -190,13 +226,24 @@ def bare_mentions(gaps: Column, new: Column) -> Column:
     """array of (text, n) of the texts between entities, with the capitalised
     words that are names of the same text (``new``: i, r, norm or null, s)
     replaced and counted.  A name that came after titles of both genders
-    follows the last before it.  Names of one letter are left alone."""
+    follows the last before it.  Names of one letter are left alone, and so are
+    names that are ordinary words where a sentence or clause begins."""
     names = F.filter(new, lambda x: F.length(x["norm"]) > 1)
     longest_first = F.sort_array(F.array_distinct(F.transform(
         names, lambda x: F.struct((-F.length(x["norm"])).alias("l"), x["norm"].alias("norm")))))
-    pattern = F.concat(F.lit(_NOT_IN_WORD + r"(?=\p{Lu})((?iu:"),
-                       F.array_join(F.transform(longest_first, lambda x: x["norm"]), "|"),
-                       F.lit("))" + _WORD_ENDS))
+    def any_of(x: Column) -> Column:
+        return F.array_join(F.transform(x, lambda n: n["norm"]), "|")
+
+    ordinary = F.array(*[F.lit(w) for w in sorted(set(_ORDINARY.split()))])
+    words = F.filter(longest_first, lambda x: F.array_contains(ordinary, x["norm"]))
+    plain = F.filter(longest_first, lambda x: ~F.array_contains(ordinary, x["norm"]))
+    every = any_of(longest_first)
+    # An ordinary word counts after a word in small letters, or beside a name.
+    beside = F.concat(F.lit(r"(?:(?<=\p{Ll}\x20)|(?<=(?iu:"), every, F.lit(r")\x20)|(?=\p{L}++\x20(?=\p{Lu})(?iu:"),
+                      every, F.lit(")" + _WORD_ENDS + "))"))
+    common = F.when(F.size(words) > 0, F.concat(beside, F.lit("(?iu:"), any_of(words), F.lit(")"))).otherwise("(?!)")
+    rare = F.when(F.size(plain) > 0, F.concat(F.lit("(?iu:"), any_of(plain), F.lit(")"))).otherwise("(?!)")
+    pattern = F.concat(F.lit(_NOT_IN_WORD + r"(?=\p{Lu})("), rare, F.lit("|"), common, F.lit(")" + _WORD_ENDS))
 
     def one(gap: Column, g: Column) -> Column:
         def surrogate_of(w: Column) -> Column:
@@ -216,7 +263,7 @@ def bare_mentions(gaps: Column, new: Column) -> Column:
 
 def rendered(kind: Column, raw: Column, norm: Column, s: Column) -> Column:
     """The surrogate in the format of this occurrence."""
-    def in_format(wanted: str, lead: Column) -> Column:
+    def in_format(wanted: str, lead: Column, s: Column = s) -> Column:
         """Each wanted character of ``raw`` in turn, after the first ``lead``,
         becomes the next of ``s``; what is left of ``s`` follows."""
         count = lambda x: F.length(F.regexp_replace(x, f"[^{wanted}]", ""))
@@ -236,7 +283,8 @@ def rendered(kind: Column, raw: Column, norm: Column, s: Column) -> Column:
     as_written = F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), cased), "")
     name = _name_like(raw, s)
     return (F.when(kind.isin("card", "ssn"), in_format("0-9", F.lit(0)))
-            .when(kind == "phone", in_format("0-9", digits - F.length(norm)))
+            .when(kind == "phone", in_format("0-9", digits - F.length(F.regexp_replace(norm, "[^0-9]", "")),
+                                             F.regexp_replace(s, "[^0-9]", "")))
             .when(kind == "iban", in_format("0-9A-Z", F.lit(0)))
             .when(kind.isin("name_m", "name_f"), name)
             .when(kind == "email", as_written).otherwise(s))
@@ -248,7 +296,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     todo = stored(found.select("kind", "norm").distinct(), "entities")
     real = todo.select(F.col("kind").alias("rk"), F.col("norm").alias("rn"))
     done = todo.limit(0).withColumn("s", F.lit(""))
-    for draw in range(DRAWS):
+    for draw in itertools.count():  # the space of surrogates grows on the way
         drawn = todo.withColumn("s", surrogate(key, F.col("kind"), F.col("norm"), draw))
         won = drawn.groupBy("kind", "s").agg(F.min("norm").alias("norm"))
         won = won.join(real, (won.kind == F.col("rk")) & (won.s == F.col("rn")), "left_anti")
@@ -260,7 +308,6 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
         todo = stored(todo.join(won.select("kind", "norm"), ["kind", "norm"], "left_anti"), "entities")
         if todo.isEmpty():
             return done
-    raise ValueError(f"no free surrogate after {DRAWS} draws")
 
 
 def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -275,7 +322,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     n_col, k_col = (_free(docs, c) for c in ("n_replaced", "kinds"))
     row = F.struct(*[docs[c] for c in docs.columns])
     src = docs.select(row.alias("_row"), docs[text_col].alias("_text"))
-    has = F.coalesce(F.rlike("_text", F.lit(PATTERN)), F.lit(False))
+    has = F.coalesce(may_have(F.col("_text")) & F.rlike("_text", F.lit(PATTERN)), F.lit(False))
     hit = stored(src.where(has).select("_row", F.monotonically_increasing_id().alias("_rid")), "hits")
     hit = hit.withColumn("_text", F.col("_row").getField(text_col))
     seen = hit.select("_rid", F.inline(entities(F.col("_text")))).withColumn(
