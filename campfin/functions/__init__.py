@@ -1,9 +1,9 @@
 from campfin.functions.predicates import LEGACY_COLLATION, any_changed, collated, newer_than
 from campfin.functions.text import (
-    coerce_decimal, cycle_folder, date_from_mmddyyyy, file_name, fit_text, y2_of_year,
+    coerce_decimal, date_from_mmddyyyy, file_name, fit_text, record_fields, y2_of_year,
 )
 
 __all__ = [
     "LEGACY_COLLATION", "any_changed", "collated", "newer_than", "coerce_decimal",
-    "cycle_folder", "date_from_mmddyyyy", "file_name", "fit_text", "y2_of_year",
+    "date_from_mmddyyyy", "file_name", "fit_text", "record_fields", "y2_of_year",
 ]

@@ -102,12 +102,6 @@ def y2_of_year(year) -> Column:
     return F.right(_col(year).cast("string"), F.lit(2))
 
 
-def cycle_folder(y2) -> Column:
-    """Two-digit cycle to the four-digit folder year ('98' -> 1998, '04' -> 2004)."""
-    y = _col(y2).cast("int")
-    return F.when(y >= 50, y + 1900).otherwise(y + 2000)
-
-
 def file_name(path) -> Column:
     """Last path segment."""
     return F.regexp_extract(_col(path), r"([^/]+)$", 1)

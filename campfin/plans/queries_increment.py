@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from campfin.operators import facts as fx
-from campfin.plans.registry import RESOLVE_COLS, cm_lookup, cn_lookup, register, resolve_sql
+from campfin.plans.rawlines import expected_sql, marked, marked_sql
+from campfin.plans.registry import RESOLVE_COLS, WIDE_SQL, cm_lookup, cn_lookup, register, resolve_sql, wide
 from campfin.plans.standins import build
 
 _COLS = ", ".join(RESOLVE_COLS)
-_ADD_SRC = ("(SELECT y2, cmte_id, employer, occupation, transaction_dt, "
-            "CAST(transaction_amt + 1 AS decimal(14,2)) AS transaction_amt, other_id, cand_id, "
-            "sub_id, k FROM src WHERE k % 5 = 4 OR k % 10 = 0)")
-_CHG_SRC = ("(SELECT y2, cmte_id, employer, occupation, transaction_dt, "
-            "CAST(transaction_amt * 2 AS decimal(14,2)) AS transaction_amt, other_id, cand_id, "
-            "sub_id, k FROM src WHERE k % 10 = 3 OR k % 20 = 7)")
+
+
+def _changes(where: str, amount: str, mark: str, n: int) -> str:
+    """Wide change rows: another amount, and every other field marked."""
+    rows = f"(SELECT * REPLACE (CAST({amount} AS decimal(14,2)) AS transaction_amt) FROM src WHERE {where})"
+    return marked_sql("(" + expected_sql("indiv", rows, extra=("k", "cand_id")) + ")", mark, n)
 
 
 _CTES = f"""-- cte
-prev AS ({resolve_sql("(SELECT * FROM src WHERE k % 5 <> 4)")}),
+prev AS ({resolve_sql("(SELECT * FROM " + WIDE_SQL + " w WHERE k % 5 <> 4)", RESOLVE_COLS)}),
 del AS (SELECT sub_id FROM src WHERE k % 10 IN (7, 9)),
-adds AS ({resolve_sql(_ADD_SRC, more=" k,")}),
-chg AS ({resolve_sql(_CHG_SRC, more=" k,")})"""
+adds AS ({resolve_sql(_changes("k % 5 = 4 OR k % 10 = 0", "transaction_amt + 1", "+", 1), RESOLVE_COLS, ", k")}),
+chg AS ({resolve_sql(_changes("k % 10 = 3 OR k % 20 = 7", "transaction_amt * 2", "*", 2), RESOLVE_COLS, ", k")})"""
 
 # Rows by priority: later batches outrank earlier ones, later lines outrank earlier.
 _LATEST = f"""
@@ -32,9 +33,9 @@ WHERE rn = 1"""
 def _state(spark, sf_dir):
     s = build(spark, sf_dir)
     cm, cn = cm_lookup(s), cn_lookup(s)
-    prev = fx.resolve(s.prev_indiv_src(), cm, cn)
-    adds = fx.resolve(s.sadd(), cm, cn, "add", keep=("k",))
-    chg = fx.resolve(s.schg(), cm, cn, "chg", keep=("k",))
+    prev = fx.resolve(wide(s.prev_indiv_src()), cm, cn)
+    adds = fx.resolve(marked(wide(s.sadd()), "+", 1), cm, cn, "add", keep=("k",))
+    chg = fx.resolve(marked(wide(s.schg()), "*", 2), cm, cn, "chg", keep=("k",))
     return s, prev, adds, chg
 
 

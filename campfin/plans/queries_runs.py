@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from campfin.operators.history import mode_at, newest_event, with_note
 from campfin.plans import runs
 from campfin.plans.feeds import full_feed, incremental_feed, write_feed
-from campfin.plans.registry import ORACLE, RESOLVE_COLS, register, resolve_sql, resolved
+from campfin.plans.registry import ORACLE, RESOLVE_COLS, WIDE_SQL, register, resolve_sql, resolved, wide
 from campfin.plans.standins import STANDIN_SQL, build, read_table
 from campfin.plans.tables import TableStore
 from campfin.session import scratch_path
 from campfin.streaming import increments
 
 
-@register("full_refresh_indiv", resolve_sql("src"))
+@register("full_refresh_indiv", resolve_sql(WIDE_SQL, RESOLVE_COLS))
 def q_full_refresh_indiv(spark, sf_dir):
     """Publish the resolved load twice (the second publish switches versions
     while the first stays readable) and read the current version back."""
     s = build(spark, sf_dir)
     store = TableStore(spark)
-    rows = resolved(s, s.sindiv())
+    rows = resolved(s, wide(s.sindiv()))
     store.publish("indiv", rows.where(F.col("sub_id") < 0))  # an empty first version
     store.publish("indiv", rows)
     return store.read("indiv").select(*RESOLVE_COLS)
@@ -144,8 +144,8 @@ def q_incremental_run_cm_meta(spark, sf_dir):
 SELECT 'cn' AS kind, y2, count(*) AS lines FROM scn GROUP BY y2
 UNION ALL SELECT 'cm', y2, count(*) FROM scm GROUP BY y2
 UNION ALL SELECT 'indiv', y2, count(*) FROM src GROUP BY y2
-UNION ALL SELECT 'oth', y2, count(*) FROM src WHERE k % 3 = 1 GROUP BY y2
-UNION ALL SELECT 'pas2', y2, count(*) FROM src WHERE k % 3 = 2 GROUP BY y2""")
+UNION ALL SELECT 'oth', y2, count(*) FROM src GROUP BY y2
+UNION ALL SELECT 'pas2', y2, count(*) FROM src GROUP BY y2""")
 def q_land_bronze_counts(spark, sf_dir):
     """S3 + S4 + S11 + K3: a full feed's archives landed as bronze lines; the
     kind and cycle of every line come from its archive's name."""
@@ -158,8 +158,8 @@ def q_land_bronze_counts(spark, sf_dir):
 SELECT 'lines cn' AS metric, count(*) AS value FROM scn
 UNION ALL SELECT 'lines cm', count(*) FROM scm
 UNION ALL SELECT 'lines indiv', count(*) FROM src
-UNION ALL SELECT 'lines oth', count(*) FROM src WHERE k % 3 = 1
-UNION ALL SELECT 'lines pas2', count(*) FROM src WHERE k % 3 = 2
+UNION ALL SELECT 'lines oth', count(*) FROM src
+UNION ALL SELECT 'lines pas2', count(*) FROM src
 UNION ALL SELECT 'cn matched', 0 UNION ALL SELECT 'cn updated', 0
 UNION ALL SELECT 'cn inserted', count(*) FROM scn
 UNION ALL SELECT 'cm matched', 0 UNION ALL SELECT 'cm updated', 0
@@ -167,8 +167,8 @@ UNION ALL SELECT 'cm inserted', count(*) FROM scm
 UNION ALL SELECT 'pas2 duplicates dropped', 0
 UNION ALL SELECT 'oth duplicates dropped', 0
 UNION ALL SELECT 'indiv duplicates dropped', 0
-UNION ALL SELECT 'pas2 rows', count(*) FROM srcp WHERE k % 3 = 2 AND sid <> 0
-UNION ALL SELECT 'oth rows', count(*) FROM srcp WHERE k % 3 = 1 AND sid <> 0
+UNION ALL SELECT 'pas2 rows', count(*) FROM srcp WHERE sid <> 0
+UNION ALL SELECT 'oth rows', count(*) FROM srcp WHERE sid <> 0
 UNION ALL SELECT 'indiv rows', count(*) FROM srcp WHERE sid <> 0
 UNION ALL SELECT 'cmMeta rows', count(DISTINCT cm.id)
           FROM srcp AS r JOIN cm ON r.cmte_id = cm.cm_id AND r.y2 = cm.y2 WHERE r.sid <> 0""")
@@ -217,16 +217,16 @@ UNION ALL SELECT 'lines cm', count(*) FROM scm
 UNION ALL SELECT 'lines add', count(*) FROM src WHERE k % 5 = 4 OR k % 10 = 0
 UNION ALL SELECT 'lines chg', count(*) FROM src WHERE k % 10 = 3 OR k % 20 = 7
 UNION ALL SELECT 'lines delete', count(*) FROM src WHERE k % 10 IN (7, 9)
-UNION ALL SELECT 'lines oth', count(*) FROM src{oth}
-UNION ALL SELECT 'lines pas2', count(*) FROM src{pas2}
+UNION ALL SELECT 'lines oth', count(*) FROM src
+UNION ALL SELECT 'lines pas2', count(*) FROM src
 UNION ALL SELECT 'cn matched', count(*) FROM scn UNION ALL SELECT 'cn updated', 0
 UNION ALL SELECT 'cn inserted', 0
 UNION ALL SELECT 'cm matched', count(*) FROM scm UNION ALL SELECT 'cm updated', 0
 UNION ALL SELECT 'cm inserted', 0
 UNION ALL SELECT 'pas2 duplicates dropped', 0
 UNION ALL SELECT 'oth duplicates dropped', 0
-UNION ALL SELECT 'pas2 rows', count(*) FROM (SELECT * FROM srcp{pas2}) x WHERE sid <> 0
-UNION ALL SELECT 'oth rows', count(*) FROM (SELECT * FROM srcp{oth}) x WHERE sid <> 0
+UNION ALL SELECT 'pas2 rows', count(*) FROM srcp WHERE sid <> 0
+UNION ALL SELECT 'oth rows', count(*) FROM srcp WHERE sid <> 0
 UNION ALL SELECT 'indiv deleted', count(*) FROM base WHERE sid IN (SELECT sid FROM del)
 UNION ALL SELECT 'indiv added', count(*) + count(*) FILTER (sid IN (SELECT sid FROM rest)) FROM adds
 UNION ALL SELECT 'indiv changed', count(*) + count(*) FILTER (sid IN (SELECT sid FROM added)) FROM chgs
@@ -236,8 +236,7 @@ UNION ALL SELECT 'indiv rows', count(*) FROM (
   SELECT sid FROM rest WHERE sid NOT IN (SELECT sid FROM named) UNION ALL SELECT sid FROM named) x
 UNION ALL SELECT 'cmMeta rows', count(DISTINCT cm.id)
           FROM latest AS r JOIN cm ON r.cmte_id = cm.cm_id AND r.y2 = cm.y2
-          WHERE r.prio > 0 OR r.sid NOT IN (SELECT sid FROM del)""".format(
-    oth=" WHERE k % 3 = 1", pas2=" WHERE k % 3 = 2"))
+          WHERE r.prio > 0 OR r.sid NOT IN (SELECT sid FROM del)""")
 def q_incremental_run_report(spark, sf_dir):
     """The counts an incremental run reports, from its tagged change set."""
     s, store = _previous_state(spark, sf_dir)

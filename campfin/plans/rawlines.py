@@ -158,9 +158,40 @@ def render_lines(df: DataFrame, kind: str, order: str) -> DataFrame:
                        F.expr(order).alias("_order"))
 
 
-def expected_sql(kind: str, source: str, with_y2: bool = True) -> str:
-    """Oracle SELECT of the parsed values of ``source`` rows."""
+def expected_sql(kind: str, source: str, with_y2: bool = True, extra: tuple[str, ...] = ()) -> str:
+    """Oracle SELECT of the parsed values of ``source`` rows (and of ``extra``
+    columns before them)."""
     spec, *_rest, n = SPECS[kind]
-    exprs = ", ".join(f"{e} AS {f}" for f, _r, e in spec)
+    exprs = ", ".join([*extra, *(["y2"] if with_y2 else []), *[f"{e} AS {f}" for f, _r, e in spec]])
     src = f"(SELECT *, {n} AS n FROM {source})" if n else source
-    return f"SELECT {'y2, ' if with_y2 else ''}{exprs} FROM {src} AS t"
+    return f"SELECT {exprs} FROM {src} AS t"
+
+
+def typed(df: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Stand-in rows with every field of their file layout, typed, as parsing
+    their lines would give them."""
+    base = with_n(df, kind)
+    return base.select(*extra, "y2", *[F.expr(e).alias(f) for f, _r, e in SPECS[kind][0]])
+
+
+# Change rows differ from what they replace in every field.
+_MARKED = ("amndt_ind rpt_tp transaction_pgi image_num transaction_tp entity_tp name city state zip_code "
+           "employer occupation tran_id memo_cd memo_text").split()
+
+
+def marked_fields(mark: str, n: int) -> dict[str, str]:
+    """SQL of the fields of a change row, by name: text gets a mark, the file
+    number grows, the date is another, the other party is the candidate."""
+    out = {c: f"({c} || '{mark}')" for c in _MARKED}  # NULL stays NULL
+    return out | {"file_num": f"CAST(file_num + {n} AS decimal(22,0))", "transaction_dt": f"'1231199{n}'",
+                  "other_id": "cand_id"}
+
+
+def marked(df: DataFrame, mark: str, n: int) -> DataFrame:
+    new = marked_fields(mark, n)
+    return df.select(*[F.expr(new[c]).alias(c) if c in new else F.col(c) for c in df.columns])
+
+
+def marked_sql(source: str, mark: str, n: int) -> str:
+    new = ", ".join(f"{e} AS {c}" for c, e in marked_fields(mark, n).items())
+    return f"(SELECT * REPLACE ({new}) FROM {source})"

@@ -14,7 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from campfin.operators import facts as fx
+from campfin.plans.rawlines import expected_sql, typed
 from campfin.plans.standins import STANDIN_SQL
+from campfin.schemas import fact_schema
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,9 +44,9 @@ def register(name: str, sql: str | None):
 DATE_SQL = ("CAST(try_strptime(left({c}, 2) || substring({c}, 3, 2) || right({c}, 4), '%m%d%Y') "
             "AS DATE)")
 
-RESOLVE_COLS = ["cm_id", "employer", "occupation", "transaction_dt", "transaction_amt",
-                "other_cm_id", "other_cn_id", "sub_id", "y2"]
-
+# Every column of a production contribution, in table order.
+RESOLVE_COLS = [f.name for f in fact_schema("indiv")]
+PAS2_COLS = [f.name for f in fact_schema("pas2")]
 
 
 def id_sql(dimension: str, key: str, of: str) -> str:
@@ -52,17 +54,28 @@ def id_sql(dimension: str, key: str, of: str) -> str:
     return f"(SELECT d.id FROM {dimension} d WHERE d.y2 = f.y2 AND d.{key} = f.{of})"
 
 
-def resolve_sql(src: str, date_name: str = "transaction_dt", more: str = "") -> str:
-    """Every staged filing with a real sub_id, its ids looked up one by one."""
-    return f"""SELECT {id_sql('cm', 'cm_id', 'cmte_id')} AS cm_id, employer, occupation,
-       {DATE_SQL.format(c='transaction_dt')} AS {date_name}, transaction_amt,
-       {id_sql('cm', 'cm_id', 'other_id')} AS other_cm_id,
-       {id_sql('cn', 'cn_id', 'other_id')} AS other_cn_id,{more} sub_id, y2
-FROM {src} f WHERE sub_id <> 0"""
+def resolve_sql(src: str, columns: list[str], more: str = "") -> str:
+    """``columns`` of every staged filing with a real sub_id, its ids looked up
+    one by one."""
+    date = DATE_SQL.format(c="transaction_dt")
+    made = {"cm_id": id_sql("cm", "cm_id", "cmte_id"), "other_cm_id": id_sql("cm", "cm_id", "other_id"),
+            "other_cn_id": id_sql("cn", "cn_id", "other_id"), "cn_id": id_sql("cn", "cn_id", "cand_id"),
+            "transaction_dt": date, "transaction_date": date}
+    listed = ", ".join(f"{made[c]} AS {c}" if c in made else c for c in columns)
+    return f"SELECT {listed}{more} FROM {src} f WHERE sub_id <> 0"
+
+
+# Every filing with all its fields (``typed`` in rawlines).
+WIDE_SQL = "(" + expected_sql("indiv", "src", extra=("k", "cand_id")) + ")"
+
+
+def wide(df: DataFrame) -> DataFrame:
+    return typed(df, "indiv", extra=("k", "cand_id"))
 
 
 # Resolved full load of indiv, as a CTE for later oracles.
-INDIV_CTE = "-- cte\nindiv AS (" + resolve_sql("src") + ")"
+INDIV_CTE = "-- cte\nindiv AS (" + resolve_sql("src", [
+    "cm_id", "employer", "occupation", "transaction_amt", "sub_id", "y2"]) + ")"
 
 
 # Fact columns the sample reports read.

@@ -9,7 +9,7 @@ CTEs for the DuckDB oracle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Candidate numbers that filings name: far more than some cycles have.
+CANDIDATES = 1009
+
+
 def fec_key(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(c.cast("string"), 8, "0"))
 
@@ -80,29 +84,58 @@ def contributions(o: DataFrame) -> DataFrame:
         F.concat(mm, dd, F.year("dt").cast("string")).alias("transaction_dt"),
         F.col("amt").alias("transaction_amt"),
         F.when(k % 4 == 0, fec_key("C", F.col("o_custkey")))
-        .when(k % 4 == 1, fec_key("S", k % 10))
+        .when(k % 4 == 1, fec_key("S", k % CANDIDATES))
         .when(k % 4 == 2, F.lit("")).otherwise(F.lit("X00000000")).alias("other_id"),
-        fec_key("S", k % 10).alias("cand_id"),
+        fec_key("S", k % CANDIDATES).alias("cand_id"),
         F.when(k % 50 == 0, F.lit(0).cast("decimal(19,0)"))
         .otherwise((F.lit(4000000000000000000) + k).cast("decimal(19,0)")).alias("sub_id"),
         k.alias("k"))
 
 
-@dataclass
 class Standins:
-    o: DataFrame
-    scn: DataFrame
-    scm: DataFrame
-    cn: DataFrame
-    cm: DataFrame
-    src: DataFrame
-    cn_rows: int = 0
-    cm_rows: int = 0
-
-    # Splits of ``src`` (F4 table).
+    """The stand-in tables; ids are assigned when a dimension is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self.o = orders_o(spark, sf_dir)
+        self.src = contributions(self.o)
+
+    @cached_property
+    def scn(self) -> DataFrame:
+        return staged_cn(self._spark, self._sf_dir, self.o, cycles(self.o))
+
+    @cached_property
+    def scm(self) -> DataFrame:
+        return staged_cm(self._spark, self._sf_dir, self.o)
+
+    @cached_property
+    def _cn(self) -> tuple[DataFrame, int]:
+        return assign_ids_counted(self.scn, ["y2", "cn_id"])
+
+    @cached_property
+    def _cm(self) -> tuple[DataFrame, int]:
+        return assign_ids_counted(self.scm, ["y2", "cm_id"])
+
+    @property
+    def cn(self) -> DataFrame:
+        return self._cn[0].select("id", *self.scn.columns)
+
+    @property
+    def cm(self) -> DataFrame:
+        return self._cm[0].select("id", *self.scm.columns)
+
+    @property
+    def cn_rows(self) -> int:
+        return self._cn[1]
+
+    @property
+    def cm_rows(self) -> int:
+        return self._cm[1]
+
+    # Every order is a contribution of every kind (F4 table).
     def sindiv(self): return self.src
-    def soth(self): return self.src.where(F.col("k") % 3 == 1)
-    def spas2(self): return self.src.where(F.col("k") % 3 == 2)
+    def soth(self): return self.src
+    def spas2(self): return self.src
     def prev_indiv_src(self): return self.src.where(F.col("k") % 5 != 4)
     def sdelete(self):
         return self.src.where((F.col("k") % 10).isin(7, 9)).select("y2", "sub_id", "k")
@@ -115,25 +148,28 @@ class Standins:
                 .withColumn("transaction_amt",
                             (F.col("transaction_amt") * 2).cast("decimal(14,2)")))
 
-    def prev_dim(self, dim: DataFrame) -> DataFrame:
-        """Previous production dimension: ids % 4 <> 0; party 'OLD' where
-        id % 6 = 1 (must update) and NULL where id % 6 = 2 (must not)."""
-        i = F.col("id")
-        return (dim.where(i % 4 != 0)
-                .withColumn("party", F.when(i % 6 == 1, F.lit("OLD"))
-                            .when(i % 6 == 2, F.lit(None).cast("string"))
-                            .otherwise(F.col("party"))))
+
+def previous_fields(attrs: list[str], numeric: set[str]) -> dict[str, str]:
+    """SQL of the attributes that production had before, by name: attribute i
+    differs where id % 31 = i (so that each alone must update), and is NULL
+    where id % 31 = i + 15 (which must not)."""
+    out = {}
+    for i, a in enumerate(attrs):
+        other = f"{a} + 1" if a in numeric else f"'old ' || {a}"
+        out[a] = f"CASE id % 31 WHEN {i} THEN {other} WHEN {i + 15} THEN NULL ELSE {a} END"
+    return out
+
+
+def previous_dim(dim: DataFrame, attrs: list[str], numeric: set[str]) -> DataFrame:
+    """The production dimension before: ids % 4 <> 0, attributes as in
+    ``previous_fields``."""
+    new = previous_fields(attrs, numeric)
+    return dim.where(F.col("id") % 4 != 0).select(
+        *[F.expr(new[c]).cast(dim.schema[c].dataType).alias(c) if c in new else F.col(c) for c in dim.columns])
 
 
 def build(spark: SparkSession, sf_dir: str) -> Standins:
-    o = orders_o(spark, sf_dir)
-    scn = staged_cn(spark, sf_dir, o, cycles(o))
-    scm = staged_cm(spark, sf_dir, o)
-    cn, cn_rows = assign_ids_counted(scn, ["y2", "cn_id"])
-    cm, cm_rows = assign_ids_counted(scm, ["y2", "cm_id"])
-    return Standins(o=o, scn=scn, scm=scm, cn=cn.select("id", *scn.columns),
-                    cm=cm.select("id", *scm.columns), src=contributions(o),
-                    cn_rows=cn_rows, cm_rows=cm_rows)
+    return Standins(spark, sf_dir)
 
 
 # The same stand-ins as SQL (runs unchanged on Spark SQL and DuckDB).
@@ -170,9 +206,9 @@ src AS (
          amt AS transaction_amt,
          CASE o_orderkey % 4
               WHEN 0 THEN concat('C', lpad(CAST(o_custkey AS string), 8, '0'))
-              WHEN 1 THEN concat('S', lpad(CAST(o_orderkey % 10 AS string), 8, '0'))
+              WHEN 1 THEN concat('S', lpad(CAST(o_orderkey % 1009 AS string), 8, '0'))
               WHEN 2 THEN '' ELSE 'X00000000' END AS other_id,
-         concat('S', lpad(CAST(o_orderkey % 10 AS string), 8, '0')) AS cand_id,
+         concat('S', lpad(CAST(o_orderkey % 1009 AS string), 8, '0')) AS cand_id,
          CASE WHEN o_orderkey % 50 = 0 THEN CAST(0 AS decimal(19,0))
               ELSE CAST(4000000000000000000 + o_orderkey AS decimal(19,0)) END AS sub_id,
          o_orderkey AS k
