@@ -6,11 +6,14 @@ stands in the text unchanged.  All pieces of all items go into one
 Aho-Corasick automaton that reads each whole text once; around each hit the
 item is verified with Myers' bit-parallel distance.  The search is exact: a
 (document, item) pair is reported if and only if some substring of the
-document is within k edits of the item.
-
-The benchmark is the query set.  It is searched in blocks of bounded size, one
-narrow pass each over all documents, so neither a worker nor the driver holds
-more than a block of it.  Texts never leave their rows.
+document is within k edits of the item.  An item under ``SHORT_CHARS``
+characters says little inside a word; it counts where it stands unchanged
+between word borders.
+
+The benchmark is the query set.  It is broadcast in blocks of bounded size, and
+one narrow pass over the documents searches them all: a worker takes a stretch
+of bounded size of documents and goes through the blocks, of which it (like the
+driver that sends them) holds one at a time.  Texts never leave their rows.
 """
 
 from __future__ import annotations
@@ -20,13 +23,14 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 PER_EDIT = 16
-#: Shorter items (normalised) are no evidence and are not searched.
-LEAST_CHARS = 24
-#: Characters of items searched in one pass over the documents, about.
-BLOCK_CHARS = 4_000_000
+#: Shorter items (normalised) are matched unchanged, between word borders.
+SHORT_CHARS = 24
+#: Characters of items in a block, about, and of documents held while several
+#: blocks are searched.
+BLOCK_CHARS, HELD_CHARS = 4_000_000, 32_000_000
 
 HIT = pa.struct([("item", pa.string()), ("distance", pa.int32()), ("end", pa.int64())])
 HIT_DDL = "array<struct<item:string,distance:int,end:bigint>>"
@@ -73,7 +77,7 @@ class Searcher:
 
     def __init__(self, items: list[tuple[str, str]], per_edit: int):
         self.items = items
-        self.budget = [len(t) // per_edit for _, t in items]
+        self.budget = [0 if len(t) < SHORT_CHARS else len(t) // per_edit for _, t in items]
         self.masks: list[dict[str, int] | None] = [None] * len(items)
         self.automaton = ahocorasick.Automaton()
         for k, (_, t) in enumerate(items):
@@ -105,6 +109,11 @@ class Searcher:
         out = []
         for k, places in starts.items():
             item, budget = self.items[k][1], self.budget[k]
+            if len(item) < SHORT_CHARS:
+                places = {s for s in places if not text[max(s - 1, 0):s].isalnum()
+                          and not text[s + len(item):s + len(item) + 1].isalnum()}
+                if not places:
+                    continue
             exact = min((s for s in places if s >= 0 and text.startswith(item, s)), default=None)
             if exact is not None:
                 out.append((self.items[k][0], 0, exact + len(item)))
@@ -144,7 +153,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int
     for b in range(n):
         part = src.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)
         rows = [(r["item"], normalise(r["text"])) for r in part.collect()]
-        yield sorted(r for r in rows if len(r[1]) >= LEAST_CHARS)
+        yield sorted(r for r in rows if r[1])
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -163,33 +172,48 @@ def annotate(docs: DataFrame, items: DataFrame, out_col: str = "hits", text_col:
     name of the new column (``out_col``, or one that no column has)."""
     name = free_name(docs, out_col)
     df = docs.withColumn(name, F.array().cast(HIT_DDL))
-    for block in item_blocks(items, item_col, item_text, block_chars):
-        if block:
-            df = _search(df, block, name, text_col, per_edit)
-    return df, name
-
-
-def _search(df: DataFrame, block: list[tuple[str, str]], name: str, text_col: str, per_edit: int
-            ) -> DataFrame:
-    spark: SparkSession = df.sparkSession
-    shared = spark.sparkContext.broadcast((block, per_edit))
+    sc = docs.sparkSession.sparkContext
+    blocks = [sc.broadcast(b) for b in item_blocks(items, item_col, item_text, block_chars) if b]
+    return (_search(df, blocks, name, text_col, per_edit) if blocks else df), name
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], at_text: int, chars: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about so many bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            held.append(part)
+            size += sum(len(x.as_buffer() or b"") for x in part.column(at_text))
+            if size >= chars:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _search(df: DataFrame, blocks: list, name: str, text_col: str, per_edit: int) -> DataFrame:
     at_text, at_hits = df.columns.index(text_col), df.columns.index(name)
 
+    def searchers() -> Iterator[Searcher]:
+        for b in blocks:
+            yield Searcher(b.value, per_edit)
+            b.__dict__.pop("_value", None)  # the next block takes its place
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Searcher(*shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                hits = []
-                for text, old in zip(part.column(at_text).to_pylist(),
-                                     part.column(at_hits).to_pylist()):
-                    found = {h["item"]: h for h in old or []}
-                    for item, d, e in search.find(normalise(text)):
-                        if item not in found or d < found[item]["distance"]:
-                            found[item] = {"item": item, "distance": d, "end": e}
-                    hits.append([found[i] for i in sorted(found)])
+        only = Searcher(blocks[0].value, per_edit) if len(blocks) == 1 else None
+        for held in _stretches(batches, at_text, 1 if only else HELD_CHARS):
+            texts = [[normalise(t) for t in part.column(at_text).to_pylist()] for part in held]
+            found: list[list[dict]] = [[{} for _ in part] for part in texts]
+            for search in [only] if only else searchers():
+                for part, hits in zip(texts, found):
+                    for text, mine in zip(part, hits):
+                        for item, d, e in search.find(text):
+                            if item not in mine or d < mine[item]["distance"]:
+                                mine[item] = {"item": item, "distance": d, "end": e}
+            for part, hits in zip(held, found):
                 cols = list(part.columns)
-                cols[at_hits] = pa.array(hits, pa.list_(HIT))
+                cols[at_hits] = pa.array([[h[i] for i in sorted(h)] for h in hits], pa.list_(HIT))
                 yield pa.RecordBatch.from_arrays(cols, part.schema.names)
 
     return df.mapInArrow(run, df.schema)
@@ -200,9 +224,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """One row per document: id, contaminated, n_items, least_distance (null
     without hits), items (sorted ids, comma-joined).
 
-    Null and empty texts hold nothing; items that are null or shorter than
-    ``LEAST_CHARS`` are not searched; an item id with several texts is found
-    by any of them; repeated rows are searched each; empty tables give no rows
+    Null and empty texts hold nothing and empty items are in no text; an item
+    id with several texts is found by any of them; very long texts are searched
+    whole; repeated rows are searched each; empty tables give no rows
     or no hits; other columns are not read.
     """
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))

@@ -1,9 +1,10 @@
 import random
+import re
 
 import numpy as np
 
-from campfin.llm.decontaminate import (LEAST_CHARS, PER_EDIT, Searcher, best_match, clean, contaminated,
-                                       normalise)
+from campfin.llm.decontaminate import (PER_EDIT, SHORT_CHARS, Searcher, annotate, best_match, clean,
+                                       contaminated, normalise)
 
 
 def brute(pattern, text):
@@ -47,6 +48,15 @@ def cases(seed=9):
     return docs, items
 
 
+def found(item, text):
+    """Least distance of an item that is in the text, else None: short items
+    unchanged between borders, others within their budget."""
+    if len(item) < SHORT_CHARS:
+        return 0 if item and re.search(rf"(?<![^\W_]){re.escape(item)}(?![^\W_])", text) else None
+    d = brute(item, text)
+    return d if d <= len(item) // PER_EDIT else None
+
+
 def test_best_match_equals_dynamic_programming():
     rnd = random.Random(1)
     for _ in range(300):
@@ -64,14 +74,17 @@ def test_every_pair_equals_brute_force(spark):
              (904, "x" * 9000 + normalise(items[2][1])), (905, (items[3][1][:20] + " ") * 300)]
     docs += docs[:5] + [(None, items[4][1])]
     d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, hits string, items int")
-    b = spark.createDataFrame(items + [(50, None), (51, ""), (52, "too short")], "item_id long, text string")
+    items += [(53, "What is 2+2? four"), (54, "ta"), (55, "Etao")]
+    docs += [(906, "So what  is 2+2? FOUR!"), (907, "what is 2+2? fourteen"), (908, "ta, (etao) eta_ta"), (909, "beta etaon")]
+    d = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, hits string, items int")
+    b = spark.createDataFrame(items + [(50, None), (51, ""), (52, "not in any")], "item_id long, text string")
     for options in ({}, {"block_chars": 400}):
         got = sorted((r["doc_id"] or -1, r["items"], r["least_distance"]) for r in contaminated(d, b, **options).collect())
         want = []
         for i, t in docs:
             n = normalise(t)
-            hits = {str(k): brute(normalise(x), n) for k, x in items if len(normalise(x)) >= LEAST_CHARS}
-            hits = {k: v for k, v in hits.items() if v <= len(normalise(dict(items)[int(k)])) // PER_EDIT}
+            hits = {str(k): found(normalise(x), n) for k, x in items}
+            hits = {k: v for k, v in hits.items() if v is not None}
             want.append((i or -1 if i != 0 else -1, ",".join(sorted(hits)), min(hits.values(), default=None)))
         assert got == sorted(want, key=lambda r: (r[0], r[1], str(r[2])))
     kept = clean(d, b)
@@ -79,6 +92,18 @@ def test_every_pair_equals_brute_force(spark):
     assert kept.count() == sum(w[1] == "" for w in want)
 
 
+def test_one_worker_searches_all_blocks(spark, monkeypatch):
+    docs, items = cases()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    whole, name = annotate(d, b)
+    split, _ = annotate(d, b, block_chars=200)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect())) and name == "hits"
+    assert contaminated(d, b, block_chars=200).where("contaminated").count() > 20
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
