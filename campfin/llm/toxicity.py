@@ -1,8 +1,8 @@
 """Toxicity: a linear classifier on character n-grams whose features are
 scaled by naive Bayes log-count ratios (operator 3).
 
-A text's features are the distinct byte n-grams of its lower-cased form,
-hashed into ``DIMS`` buckets.  With p and q the smoothed shares of toxic and
+A text's features are the distinct n-grams of characters (code points) of its
+lower-cased form, hashed into ``DIMS`` buckets.  With p and q the smoothed shares of toxic and
 of other training texts that hold a feature, its value is ``r = log(p / q)``;
 a regularised logistic regression is fitted on those values.  Features that
 are rare (``LEAST_SHARE`` of the training texts) or tell little
@@ -33,23 +33,23 @@ THRESHOLD = 0.3
 LEAST_SHARE, LEAST_RATIO = 0.01, 1.0
 ROUNDS, L2 = 200, 1e-3
 SLICE = 1 << 20
+MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def features(text: str | None) -> np.ndarray:
     """Distinct hashed n-gram buckets of a whole text, unordered."""
-    b = np.frombuffer((" " + (text or "").lower() + " ").encode("utf-8", "replace"), np.uint8)
+    c = np.frombuffer((" " + (text or "").lower() + " ").encode("utf-32-le", "replace"), "<u4")
     seen: list[np.ndarray] = []
-    for at in range(0, len(b), SLICE):
-        part = b[at:at + SLICE + max(ORDERS) - 1].astype(np.uint64)
-        for n in ORDERS:
+    for at in range(0, len(c), SLICE):
+        part = c[at:at + SLICE + max(ORDERS) - 1].astype(np.uint64)
+        key = np.zeros(len(part), np.uint64)
+        for n in range(1, max(ORDERS) + 1):
             m = len(part) - n + 1
             if m < 1:
-                continue
-            key = part[:m].copy()
-            for k in range(1, n):
-                key = key << np.uint64(8) | part[k:k + m]
-            key *= np.uint64(0x9E3779B97F4A7C15)
-            seen.append((key >> np.uint64(46)).astype(np.int64))
+                break
+            key = key[:m] * MIX + part[n - 1:]
+            if n in ORDERS:
+                seen.append((key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64))
     if not seen:
         return np.empty(0, np.int64)
     return _distinct(np.concatenate(seen))

@@ -7,15 +7,54 @@ from campfin.llm.toxicity import classify, features, fit, score, train
 
 
 def brute_features(text):
-    b = (" " + (text or "").lower() + " ").encode()
+    c = [ord(x) for x in " " + (text or "").lower() + " "]
     out = set()
     for n in (4, 6):
-        for i in range(len(b) - n + 1):
-            k = int.from_bytes(b[i:i + n], "big") * 0x9E3779B97F4A7C15 % (1 << 64)
-            out.add(k >> 46)
+        for i in range(len(c) - n + 1):
+            k = 0
+            for x in c[i:i + n]:
+                k = (k * 0xD6E8FEB86659FD93 + x) % (1 << 64)
+            out.add(k * 0x9E3779B97F4A7C15 % (1 << 64) >> 46)
     return out
 
 
+def plain_fit(rows, toxic, rounds=200, l2=1e-3):
+    """The same model from dense matrices: ratios, then Adam on the logistic loss."""
+    x = np.zeros((len(rows), 1 << 18))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    p, q = x[toxic].sum(0), x[~toxic].sum(0)
+    ratio = np.log((p + 1) / (toxic.sum() + 1) * ((~toxic).sum() + 1) / (q + 1))
+    on = (p + q >= max(2, len(rows) * 0.01)) & (abs(ratio) >= 1)
+    a = np.hstack([x[:, on] * ratio[on], np.ones((len(rows), 1))])
+    share = (toxic.sum() + 1) / (len(rows) + 2)
+    w = np.append(np.zeros(on.sum()), np.log(share / (1 - share)))
+    keep = np.append(np.full(on.sum(), l2), 0)
+    m1 = m2 = 0
+    for t in range(1, rounds + 1):
+        g = a.T @ (1 / (1 + np.exp(-(a @ w))) - toxic) / len(rows) + keep * w
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
+        w = w - 0.05 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-7 / np.sqrt(1 - 0.99**t))
+    out = np.zeros(1 << 18)
+    out[on] = w[:-1] * ratio[on]
+    return out, w[-1]
+
+
+def test_fit_equals_a_plain_one():
+    docs, labels = corpus(120)
+    rows = [features(t) for _, t, *_ in docs]
+    toxic = np.array([t == 1 for _, _, t in labels])
+    w, b = fit(rows, toxic)
+    v, c = plain_fit(rows, toxic)
+    assert w.any() and abs(w - v).max() < 1e-6 and abs(b - c) < 1e-6
+
+
+def test_windows_are_of_characters():
+    cyr = "дурак"   # two bytes a letter: four letters are one window, not two
+    assert set(features("xx дура yy").tolist()) & set(features("дура").tolist())
+    assert len(features(cyr)) == len(brute_features(cyr)) == 4 + 2
+
+
 def test_features_equal_brute_force():
     for t in [None, "", "a", "Idiot ídiot", "x" * 5000, "the CLOWN " * 30]:
         got = features(t).tolist()
