@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 # Fixed values of the vocabulary file's format: the file's own pre-tokeniser
 # pattern is read from it; the contractions below are that pattern's literals.
@@ -55,6 +56,22 @@ def byte_letters() -> list[str]:
     return out
 
 
+def newer_letters() -> list[str]:
+    """Letters and numbers to the pattern library that Python's Unicode table
+    (which is the tokenizer library's) doesn't assign."""
+    every = "".join(chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    return [ch for ch in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(ch) == "Cn"]
+
+
+def _class_of(library: Tokenizer, ch: str) -> str:
+    """A letter, a digit or another character, as the library's own
+    pre-tokeniser takes ``ch``."""
+    def pieces(s: str) -> int:
+        return len(library.pre_tokenizer.pre_tokenize_str(s))
+
+    return "a" if pieces(f"a{ch}a") == 1 else "0" if pieces(ch * 2) == 2 else "\ue000"
+
+
 class PrefixCounter:
     """Exact token counts at every prefix for a lower-casing word BPE file."""
 
@@ -73,7 +90,13 @@ class PrefixCounter:
             self.rank[own(a), own(b)] = r
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.made = {a + b: (r, a, b) for (a, b), r in reversed(self.rank.items())}
-        self.pieces = regex.compile(split["pattern"]["Regex"])
+        self.pattern = regex.compile(split["pattern"]["Regex"])
+        newer = newer_letters()
+        self.newer = regex.compile("[" + "".join(newer) + "]") if newer else None
+        # What the library itself takes them for, and their small letters there.
+        library = Tokenizer.from_file(path)
+        self.stand_in = {ord(ch): _class_of(library, ch) for ch in newer}
+        self.small = {ord(ch): library.normalizer.normalize_str(ch) for ch in newer}
         specials = [regex.escape(t["content"]) for t in spec["added_tokens"] if t["special"]]
         self.special = regex.compile("|".join(specials)) if specials else None
         self.special_mark = min((t["content"][:2] for t in spec["added_tokens"]), default="")
@@ -170,15 +193,22 @@ class PrefixCounter:
                         final[j] = c
         return final[1:] if ends is None else [final[e] for e in ends]
 
+    def pieces(self, chunk: str) -> list[str]:
+        """The pre-tokeniser's pieces; for characters that the two libraries'
+        Unicode tables may tell apart stands one of the class they have there."""
+        if chunk.isascii() or self.newer is None or not self.newer.search(chunk):
+            return self.pattern.findall(chunk)
+        return [chunk[m.start():m.end()] for m in self.pattern.finditer(chunk.translate(self.stand_in))]
+
     def chunk_deltas(self, chunk: str) -> bytes:
         """Steps of the count along a run without white space.  A piece's
         steps start from nothing, so those of a chunk are its pieces' joined."""
         if not chunk.isalpha():
-            pieces = self.pieces.findall(chunk)
+            pieces = self.pieces(chunk)
             if len(pieces) > 1:
                 return b"".join(map(self.chunk.__getitem__, pieces))
             if chunk in CONTRACTIONS:
-                counts = [sum(self.word_prefixes(p)[-1] for p in self.pieces.findall(chunk[:k]))
+                counts = [sum(self.word_prefixes(p)[-1] for p in self.pieces(chunk[:k]))
                           for k in range(1, len(chunk) + 1)]
                 return _steps(counts)
         return _steps(self.word_prefixes(chunk))
@@ -187,15 +217,20 @@ class PrefixCounter:
         """NFC, white space runs to one space, lower case by character."""
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        text = _SPACE.sub(" ", text)
-        return text.replace("Σ", "σ").lower()
+        return self._small(_SPACE.sub(" ", text))
+
+    def _small(self, text: str) -> str:
+        text = text.replace("Σ", "σ").lower()
+        if not text.isascii() and self.newer is not None and self.newer.search(text):
+            text = text.translate(self.small)
+        return text
 
     def _plain_deltas(self, text: str) -> bytes:
         if not text:
             return b""
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        low = text.replace("Σ", "σ").lower()
+        low = self._small(text)
         chunks = low.split() if not _ODD_SPACE.search(low) else [c for c in _SPACE.split(low) if c]
         lead = b"\0\0" if _SPACE.match(low) else b""
         if not chunks:

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from campfin.llm.tokens import counter, longest_prefix, prefix_tables, tokens_at
+from campfin.llm.tokens import counter, longest_prefix, newer_letters, prefix_tables, tokens_at
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +37,16 @@ def test_texts_equal_the_library(lib):
         assert tokens_at(d, len(d)) == n_lib(lib, t), t
 
 
+def test_letters_newer_than_the_library(lib):
+    c = counter(PATH)
+    newer = newer_letters()
+    for ch in newer:
+        for t in (f"a{ch}b {ch}{ch}1", f"'s{ch}"):
+            d = c.deltas(t)
+            assert tokens_at(d, len(d)) == n_lib(lib, t), hex(ord(ch))
+    assert len(newer) > 100
+
+
 def test_every_prefix_equals_the_library(lib):
     c = counter(PATH)
     for t in [x for x in TEXTS if "<|" not in x]:
