@@ -29,24 +29,28 @@ def _towards(edges: DataFrame) -> DataFrame:
     return edges.join(least, edges.a == least.u).drop("u")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every left end has one edge and is no right end: then each
+    component is one star around its smallest node."""
+    ends = (edges.select(F.col("a").alias("x"), F.lit(1).alias("left"), F.lit(0).alias("right"))
+            .unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("left"), F.lit(1).alias("right"))))
+    node = ends.groupBy("x").agg(F.sum("left").alias("left"), F.max("right").alias("right"))
+    return node.where("left > 1 or left + right > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b: long); ``root`` is the
     smallest node of its component.  Loops and repeated edges are harmless; no
     edges give no rows."""
     now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"),
                                               F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
+    while not _are_stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (_towards(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a != b").distinct())
+                 .where("a != b"))
         down = _towards(large)
         small = (down.select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(down.select("a", F.col("m").alias("b"))).where("a != b").distinct())
         now = stored(small, "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).collect()[0]
-        if tuple(state) == before:
-            break
-        before = tuple(state)
-    stars = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
+    stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

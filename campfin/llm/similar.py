@@ -144,7 +144,8 @@ def frequent_tokens(src: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(src: DataFrame, k: int, percent: int) -> DataFrame:
-    """(_rid, n, node, prefix) of every row; ``node`` is null for no words."""
+    """(_rid, n, node, prefix) of every row, written; ``node`` is null for no
+    words.  The list of frequent tokens is given back when that is done."""
     shared = src.sparkSession.sparkContext.broadcast(frequent_tokens(src, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,9 @@ def _signatures(src: DataFrame, k: int, percent: int) -> DataFrame:
                     [part.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                      pa.array(prefix, pa.list_(pa.int64()))], ["_rid", "n", "node", "prefix"])
 
-    return src.mapInArrow(run, "_rid long, n long, node long, prefix array<long>")
+    out = stored(src.mapInArrow(run, "_rid long, n long, node long, prefix array<long>"), "signatures")
+    shared.destroy()
+    return out
 
 
 def _node(s: np.ndarray) -> int | None:
@@ -295,7 +298,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     rows = docs.select("_rid", F.col("_row").getField(id_col).alias("_id"),
                        F.col("_row").getField(text_col).alias("_text"))
     src = rows.select("_rid", "_text")
-    signed = stored(_signatures(src, k, percent), "signatures")
+    signed = _signatures(src, k, percent)
     common = stored(_shared_tokens(signed), "common")
     groups = stored(common.groupBy("token").agg(
         F.count("*").alias("g"), F.min(F.struct("i", "n", "node")).alias("lead")), "groups")
