@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, functions as F
 from campfin.session import scratch_path
 
 
+#: Edges a task of a round, about; smaller tables don't use every partition.
+EDGES = 100_000
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back."""
     spark = df.sparkSession
@@ -44,13 +48,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges give no rows."""
     now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"),
                                               F.least("a", "b").alias("b")).distinct(), "edges")
+    # A round never has more edges than the first, so a task never has more of them.
+    tasks = max(1, -(-now.count() // EDGES))
     while not _are_stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (_towards(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a != b"))
-        down = _towards(large)
+                 .where("a != b").coalesce(tasks))
+        down = _towards(large).coalesce(tasks)
         small = (down.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(down.select("a", F.col("m").alias("b"))).where("a != b").distinct())
+                 .unionByName(down.select("a", F.col("m").alias("b"))).where("a != b").distinct().coalesce(tasks))
         now = stored(small, "edges")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
