@@ -6,8 +6,8 @@ from tokenizers import Tokenizer
 
 from .test_packing import check as check_packing
 from .test_pii import check as check_pii, matches
-from .test_quality import brute as brute_quality
-from .test_similar import brute as brute_similar
+from .test_pipeline_near import brute as brute_near
+from .test_quality import brute as brute_quality, brute_threshold
 
 DIR = "/root/testdata/sf0.001"
 
@@ -42,9 +42,9 @@ def test_each_stage_equals_brute_force_on_its_input(spark):
         after = {r["doc_id"]: r for r in rows}
         assert len(after) == len(rows)
         if name == "quality":
-            assert set(after) == {r[0] for r in brute_quality(pairs, labels) if r[-1]}
+            assert set(after) == {r[0] for r in brute_quality(pairs, labels, brute_threshold(pairs, labels)) if r[-1]}
         elif name == "near_duplicates":
-            assert set(after) == {d for d, _, c in brute_similar(pairs) if d == c}
+            assert set(after) == brute_near(pairs)
         elif name == "decontamination":
             assert set(after) == {i for i, t in pairs if not leaks(t, items)}
         if name == "pii":
