@@ -194,3 +194,30 @@ def test_a_broken_archive_fails_the_read(spark, tmp_path):
         fh.write(b"no zip")
     with pytest.raises(Exception, match="not a zip"):
         read_zip_lines(spark, str(tmp_path)).count()
+
+
+def test_archives_appear_whole_on_remote_folders_too(tmp_path, monkeypatch):
+    """A task that dies while it writes leaves no archive under its final name."""
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    class Remote:
+        @staticmethod
+        def from_uri(uri):
+            return pafs.LocalFileSystem(), uri.replace("far://", f"{tmp_path}/")
+
+    monkeypatch.setattr(pafs, "FileSystem", Remote)
+    rows = pd.DataFrame({"_kind": ["oth"] * 3, "y2": ["12", "12", "10"], "_part": [0, 0, 1], "value": ["a", "b", "c"]})
+    done = pd.concat(ziplines._archive_writer("far://feed", "utf-8")(iter([rows])))
+    assert sorted(map(tuple, done.values)) == [("far://feed/2010/part-00001/oth10.zip", 1),
+                                               ("far://feed/2012/part-00000/oth12.zip", 2)]
+    with zipfile.ZipFile(tmp_path / "feed/2012/part-00000/oth12.zip") as zf:
+        assert zf.read(zf.namelist()[0]) == b"a\nb\n"
+
+    def dying():
+        yield rows.head(1)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        list(ziplines._archive_writer("far://other", "utf-8")(dying()))
+    assert not [f for _, _, names in os.walk(tmp_path / "other") for f in names if f.endswith(".zip")]
