@@ -32,6 +32,7 @@ def test_dimension_refresh_cases(spark):
                    (5, "12", "H4", "Dee", "IND")]
     counts = dict((m, v) for m, v in r.counts().collect())
     assert counts == {"matched": 3, "updated": 1, "inserted": 1}
+    assert dict(r.written_counts()) == counts   # seen while the table was collected
     # Rerun with the same staging: nothing changes, ids stable.
     again = refresh_dim(r.table, staged, "cn_id", ["name", "party"], order="_order")
     assert sorted(tuple(x) for x in again.table.collect()) == got
