@@ -18,6 +18,7 @@ budget" without encoding anything again.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from array import array
@@ -92,7 +93,9 @@ class PrefixCounter:
         self.made = {a + b: (r, a, b) for (a, b), r in reversed(self.rank.items())}
         self.pattern = regex.compile(split["pattern"]["Regex"])
         newer = newer_letters()
-        self.newer = regex.compile("[" + "".join(newer) + "]") if newer else None
+        self.newer = frozenset(newer)
+        # One range tells nearly all texts; only then is the set looked at.
+        self.late = re.compile(f"[{min(newer)}-\U0010ffff]") if newer else re.compile("(?!)")
         # What the library itself takes them for, and their small letters there.
         library = Tokenizer.from_file(path)
         self.stand_in = {ord(ch): _class_of(library, ch) for ch in newer}
@@ -193,10 +196,13 @@ class PrefixCounter:
                         final[j] = c
         return final[1:] if ends is None else [final[e] for e in ends]
 
+    def _has_newer(self, text: str) -> bool:
+        return self.late.search(text) is not None and not self.newer.isdisjoint(set(text))
+
     def pieces(self, chunk: str) -> list[str]:
         """The pre-tokeniser's pieces; for characters that the two libraries'
         Unicode tables may tell apart stands one of the class they have there."""
-        if chunk.isascii() or self.newer is None or not self.newer.search(chunk):
+        if chunk.isascii() or not self._has_newer(chunk):
             return self.pattern.findall(chunk)
         return [chunk[m.start():m.end()] for m in self.pattern.finditer(chunk.translate(self.stand_in))]
 
@@ -221,7 +227,7 @@ class PrefixCounter:
 
     def _small(self, text: str) -> str:
         text = text.replace("Σ", "σ").lower()
-        if not text.isascii() and self.newer is not None and self.newer.search(text):
+        if not text.isascii() and self._has_newer(text):
             text = text.translate(self.small)
         return text
 
