@@ -94,8 +94,9 @@ def pack(docs: DataFrame, vocab: str, longest: int = 1024, end_id: int = 0,
     ``longest`` is a power of two.  Each document's ids end with ``end_id``,
     so null and empty texts give one piece of length 1.  A piece is a whole
     sequence (offset 0, no padding); ``length`` is its bucket.  Repeated rows
-    are packed each for itself under sequence ids of their own; an empty table
-    gives no rows; other columns are not read.  One narrow pass, no shuffle:
+    are packed each for itself under sequence ids of their own, which follow
+    the splits of the table: write the result before they are used as keys.
+    An empty table gives no rows; other columns are not read.  One narrow pass, no shuffle:
     a very long document streams out of its own task piece by piece.
     """
     if longest < 1 or longest & (longest - 1):

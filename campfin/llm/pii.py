@@ -315,7 +315,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     replaced; two more columns, ``n_replaced`` (long) and ``kinds`` (the kinds
     found, sorted, comma-joined), under names that no column has.
 
-    Null texts stay null and texts without entities stay as they are; repeated
+    Null texts stay null, texts without entities stay as they are, very long
+    ones are read whole; repeated
     rows get the same surrogates; an empty table gives no rows.  The rows
     with entities are numbered and written once: ids that a later read would
     give follow its splits, which may have changed by then."""

@@ -374,8 +374,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, n_shingles, component_id (the smallest id
     reachable by links, itself included).
 
-    Null, empty and blank texts have no shingles and stand alone; repeated
-    rows and equal sets are linked; a null id takes its class's smallest id
+    Null, empty and blank texts have no shingles and stand alone; very long
+    texts give all their shingles; repeated rows and equal sets are linked; a null id takes its class's smallest id
     (null if there is none); an empty table gives no rows; other columns are
     not read.
     """

@@ -155,14 +155,15 @@ def judge_urls(pages: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RU
                id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, verdict, patterns.
 
-    ``rule`` is the longest fitting host rule (host + path), else null.  The
-    verdict is that rule's; without one it is ``block`` when a matching
-    pattern rule says so and ``allow`` otherwise.  ``patterns`` names all
-    matching pattern rules.
+    ``rule`` is the longest fitting host rule (host + path), else null; of
+    equally long ones the greatest in text order, and of equal ones the greater
+    verdict.  The verdict is that rule's; without one it is ``block`` when a
+    matching pattern rule says so and ``allow`` otherwise.  ``patterns`` names
+    all matching pattern rules.
 
     Null or scheme-less urls: empty host and path, no rule, verdict by the
-    patterns (usually allow).  Repeated rows are judged alike and kept; an
-    empty table gives no rows; other columns are not read.
+    patterns (usually allow).  Very long urls are read whole.  Repeated rows
+    are judged alike and kept; an empty table gives no rows; other columns are not read.
     """
     index = file_rules(pattern_rules, token_counts(pages, pattern_rules, url_col))
     src = pages.select(F.col(id_col).alias(id_col), F.col(url_col).alias("_url"))
