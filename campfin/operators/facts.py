@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campfin.functions.text import date_from_mmddyyyy
-from campfin.operators.lookup import Lookup, lookup, written
+from campfin.operators.lookup import Lookup, heavy_keys, lookup, written
 from campfin.schemas import PRODUCTION_LIMITS, fact_schema
 
 
@@ -48,9 +48,13 @@ def resolve(staged: DataFrame, cm: Lookup, cn: Lookup, kind: str = "indiv",
              ("other_cn_id", cn, "other_id", "cn_id", "_ocn")]
     if pas2:
         steps.append(("cn_id", cn, "cand_id", "cn_id", "_cn"))
+    # Lookups beyond the broadcast bound share one pass that measures heavy keys.
+    split = sorted({(k, "y2") for name, table, k, _d, _t in steps if name in want and not table.broadcast})
+    heavy = heavy_keys(s, split) if split else {}
     for out_name, table, fact_key, dim_key, tmp in steps:
         if out_name in want:
-            s = lookup(s, table, [(fact_key, dim_key), ("y2", "y2")], {tmp: "id"}, salt_cols=salt)
+            s = lookup(s, table, [(fact_key, dim_key), ("y2", "y2")], {tmp: "id"}, salt_cols=salt,
+                       heavy=heavy.get((fact_key, "y2")))
         else:
             s = s.withColumn(tmp, null_id)
     limits = PRODUCTION_LIMITS.get("pas2" if pas2 else kind, {})

@@ -109,21 +109,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def heavy_keys(big: DataFrame, key: Column, share: float = HEAVY_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows, at most
-    ``HEAVY_KEYS`` of them, from one pass with a sketch of fixed size."""
-    got = big.select(F.xxhash64(key).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return [t["item"] for t in got["top"] or [] if t["count"] >= max(share * got["n"], 2)]
+def heavy_keys(big: DataFrame, keys: list[tuple[str, ...]], share: float = HEAVY_SHARE
+               ) -> dict[tuple[str, ...], list[int]]:
+    """For each of several key column lists, the hashes of the keys that hold at
+    least ``share`` of the rows, at most ``HEAVY_KEYS`` each: one pass over the
+    key columns with sketches of fixed size."""
+    hashed = big.select(*[F.xxhash64(F.struct(*[F.col(c) for c in k])).alias(f"h{i}") for i, k in enumerate(keys)])
+    tops = [F.expr(f"approx_top_k(h{i}, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias(f"top{i}") for i in range(len(keys))]
+    got = hashed.agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    return {k: [t["item"] for t in got[f"top{i}"] or [] if t["count"] >= max(share * got["n"], 2)]
+            for i, k in enumerate(keys)}
 
 
 def lookup(big: DataFrame, table: Lookup, on: list[tuple[str, str]],
            take: dict[str, str], how: str = "left",
-           salt_cols: list[str] | None = None) -> DataFrame:
+           salt_cols: list[str] | None = None, heavy: list[int] | None = None) -> DataFrame:
     """Join ``big`` to ``table`` on ``big[a] == table[b]`` for (a, b) in ``on``
     and add ``table`` columns as ``take`` = {output name: table column}.
 
-    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``; ``heavy``:
+    hashes of heavy keys already measured (``heavy_keys``).
     """
     keys = [(a, f"_lk{i}") for i, (a, _b) in enumerate(on)]
     sel = [F.col(b).alias(f"_lk{i}") for i, (_a, b) in enumerate(on)]
@@ -136,7 +141,8 @@ def lookup(big: DataFrame, table: Lookup, on: list[tuple[str, str]],
     columns = big.columns
     hopeless = _hopeless(big, table, on)
     travelling = big.where(~hopeless)
-    heavy = heavy_keys(travelling, F.struct(*[F.col(a) for a, _k in keys]))
+    names = tuple(a for a, _k in keys)
+    heavy = heavy_keys(travelling, [names])[names] if heavy is None else heavy
     n = table.salt_buckets
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols or columns]), F.lit(n)).cast("int")
     big_hash, right_hash = (F.xxhash64(F.struct(*[F.col(c).cast(big.schema[a].dataType) for c, a in zip(cs, [x for x, _ in keys])]))

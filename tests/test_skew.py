@@ -38,7 +38,9 @@ def test_split_join_equals_broadcast(spark, how, extra):
 
 def test_only_heavy_keys_are_copied(spark):
     facts = _facts(spark).where("key != ''")
-    assert len(heavy_keys(facts, F.struct("key"), share=0.3)) == 1
+    assert len(heavy_keys(facts, [("key",)], share=0.3)["key",]) == 1
+    both = heavy_keys(facts.withColumn("one", F.lit(1)), [("one",), ("key", "one")], share=0.3)
+    assert len(both["one",]) == 1 and len(both["key", "one"]) == 1
     table = Lookup.of(_table(spark), max_rows=0, salt_buckets=8)
     joined = lookup(facts, table, [("key", "key")], {"out": "v"}, salt_cols=["id"])
     hot = F.xxhash64(F.struct(F.lit("HOT")))
@@ -60,6 +62,19 @@ def test_empty_and_missing_keys_pass_beside_the_join(spark):
     assert out.where("key = '' and out = 7").count() == 2000
 
 
+def test_resolving_measures_heavy_keys_in_one_pass(spark, monkeypatch):
+    staged = spark.createDataFrame([("12", "C1", ["C1", "S1", "", None][i % 4], "S1", "04122012", Decimal(1), Decimal(i + 1))
+                                    for i in range(40)], "y2 string, cmte_id string, other_id string, cand_id string, "
+                                   "transaction_dt string, transaction_amt decimal(14,2), sub_id decimal(19,0)")
+    dims = [spark.createDataFrame([("12", f"{p}{i}", i) for i in range(5)], f"y2 string, {k} string, id long")
+            for p, k in (("C", "cm_id"), ("S", "cn_id"))]
+    calls, real = [], fx.heavy_keys
+    monkeypatch.setattr(fx, "heavy_keys", lambda df, keys: calls.append(keys) or real(df, keys))
+    plain, split = (sorted(map(str, fx.resolve(staged, *[Lookup.of(d, max_rows=m) for d in dims], "pas2").collect()))
+                    for m in (100, 0))
+    assert plain == split and calls == [[("cand_id", "y2"), ("cmte_id", "y2"), ("other_id", "y2")]]
+
+
 def test_the_bound_is_in_bytes_too(spark):
     wide = spark.range(100).select(F.col("id").cast("string").alias("key"), F.repeat(F.lit("x"), 1000).alias("v"))
     spark.conf.set("campfin.broadcast.maxBytes", "50000")
