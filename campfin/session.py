@@ -8,6 +8,8 @@ import tempfile
 import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -67,9 +69,23 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_scratch_root: ContextVar[str | None] = ContextVar("campfin_scratch", default=None)
+
+
+@contextmanager
+def scratch_under(folder: str):
+    """Scratch of this thread goes under ``folder`` (which is dropped with its run)."""
+    token = _scratch_root.set(folder)
+    try:
+        yield
+    finally:
+        _scratch_root.reset(token)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared dir (never machine-local on a cluster)."""
-    return f"{shared_dir(spark)}/campfin-work/{name}-{uuid.uuid4().hex[:12]}"
+    root = _scratch_root.get() or f"{shared_dir(spark)}/campfin-work"
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df):

@@ -8,8 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from campfin.operators.history import decide_mode
+from campfin.operators.lookup import written
 from campfin.plans import runs, tables
+from campfin.plans.feeds import full_feed, write_feed
+from campfin.plans.standins import build
 from campfin.plans.tables import CommitConflict, EmptyCommit, TableStore
+from campfin.session import shared_dir
 
 META = "cm_id long, contribSum decimal(24,2), contribCount long"
 
@@ -151,6 +155,28 @@ def test_staging_goes_with_its_run_also_after_a_failure(spark):
     assert [r["cm_id"] for r in store.read("cmMeta").collect()] == [1]
 
 
+def test_intermediate_tables_are_staging_too(spark):
+    store = TableStore(spark)
+    with store.staging() as st:
+        inside = written(spark.range(3), "lookup")
+        assert inside.inputFiles()[0].startswith(st.path("scratch").replace("file:/", "file:///", 1))
+    assert store.files.folders(f"{store.root}/_staging") == []
+    outside = written(spark.range(3), "lookup")
+    assert "_staging" not in outside.inputFiles()[0] and outside.count() == 3
+
+
+def test_a_run_leaves_no_scratch(spark):
+    s = build(spark, "/root/testdata/sf0.001")
+    feed = write_feed(spark, full_feed(s))
+    work = f"{shared_dir(spark)}/campfin-work"
+    store = TableStore(spark)
+    before = set(store.files.folders(work))
+    result = runs.run(spark, store, feed, mode="full")
+    assert result.report.count() > 10 and result.repairs.count() > 10
+    assert set(store.files.folders(work)) == before | {store.root.rsplit("/", 1)[1]}
+    assert store.files.folders(f"{store.root}/_staging") == []
+
+
 def test_a_failed_run_leaves_no_folder(spark, tmp_path):
     import zipfile
     os.makedirs(tmp_path / "feed" / "2012")
