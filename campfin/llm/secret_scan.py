@@ -137,9 +137,9 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = BASE + MORE,
     """One row per document: id and ``found``, an array of (start, end, kind)
     in code points (end exclusive), sorted by start, then rule order.
 
-    Null and empty texts: none found; very long ones are scanned whole.  Repeated rows are scanned each; an
-    empty table gives no rows; other columns are not read.  One narrow pass
-    with one read of each text, no shuffle.
+    Null and empty texts: none found; very long ones are scanned whole.
+    Repeated rows are scanned each; an empty table gives no rows; other columns
+    are not read.  One narrow pass with one read of each text, no shuffle.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = scanner(rules)
