@@ -4,6 +4,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from campfin.llm import quality
 from campfin.llm.common import py_words
@@ -140,6 +141,23 @@ def test_documents_equal_brute_force(spark):
     assert sum(not r[-1] for r in junk) > 0.4 * len(junk)
 
 
+def test_every_label_sets_the_threshold(spark):
+    """More labelled documents of a kind than the old bound of 3,000: none is left out."""
+    rare = [(i, " ".join(f"z{i}q{k}" for k in range(12))) for i in range(10000, 10040)]
+    docs = [(i, LINE + f" w{i % 7}") for i in range(3300)] + rare + [(20000 + i, LINE + " bad junk" * 2) for i in range(30)]
+    labels = [(i, 1) for i, _ in docs if i < 20000] + [(20000 + i, 0) for i in range(30)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    scores = judge_quality(d, lab, threshold=THRESHOLD).withColumnRenamed("doc_id", "_id")
+    assert scores.where("not base_failed").join(quality.labelled(lab), F.col("_id") == F.col("_l")).count() == 3370
+    at = brute_threshold(docs, labels)
+    assert quality.fitted_threshold(scores, quality.labelled(lab)) == at
+    want = sorted(brute(docs, labels, at))
+    assert sorted(tuple(r) for r in judge_quality(d, lab).collect()) == want
+    for most in (quality.MOST_IDS, 5):
+        assert sorted(r["doc_id"] for r in quality.keep_good(d, lab, most_ids=most).collect()) == [r[0] for r in want if r[-1]]
+
+
 def test_main_path_is_native(spark):
     d = spark.createDataFrame(DOCS, "doc_id long, text string")
     lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
