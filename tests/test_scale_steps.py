@@ -1,0 +1,50 @@
+"""Lines are split once, archives follow the lines, heavy keys stay where they are."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from campfin.operators.lookup import Lookup, lookup
+from campfin.operators.parse import parse_kind
+from campfin.plans import feeds
+from campfin.session import local_fs_path
+
+
+def test_a_filter_on_a_field_does_not_split_the_line_again(spark):
+    lines = spark.range(9).select(F.lit("12").alias("y2"), F.concat_ws("|", *[F.lit("x")] * 20, "id").alias("value"))
+    rows = parse_kind(lines.localCheckpoint(), "indiv").where(F.col("sub_id") != 0).select("sub_id")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"split\(", plan)) == 1
+    assert sorted(int(r[0]) for r in rows.collect()) == list(range(1, 9))
+
+
+def test_archives_follow_the_lines(spark, tmp_path, monkeypatch):
+    src = spark.range(1000).select(F.when(F.col("id") % 4 == 0, "98").otherwise("00").alias("y2"),
+                                   (F.col("id") + 1).cast("decimal(19,0)").alias("sub_id"), F.col("id").alias("k"))
+    assert feeds.parts_for({"delete": src}) == (2, 4)
+    monkeypatch.setattr(feeds, "ARCHIVE_LINES", 100)
+    assert feeds.parts_for({"delete": src}) == (8, 16)
+    root = local_fs_path(feeds.write_feed(spark, {"delete": src}, str(tmp_path / "feed")))
+    found = [os.path.join(d, f) for d, _dirs, files in os.walk(root) for f in files]
+    assert len(found) == 16 and all(f.endswith(".zip") for f in found)
+    from campfin.sources.ziplines import read_zip_lines
+    sizes = [r["count"] for r in read_zip_lines(spark, root).groupBy("path").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 200
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_rows_of_heavy_keys_are_not_shuffled(spark, how):
+    facts = spark.range(2000).select("id", F.when(F.col("id") % 2 == 0, "HOT").when(F.col("id") % 5 == 0, "GONE")
+                                     .when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("K"), F.col("id") % 300)).alias("key"))
+    table = spark.createDataFrame([("HOT", 1)] + [(f"K{i}", i) for i in range(250)], "key string, v int")
+    take = {"out": "v"} if how in ("left", "inner") else {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = lookup(facts, Lookup.of(table, max_rows=0), [("key", "key")], take, how, ["id"])
+        assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+        plain = lookup(facts, Lookup.of(table, max_rows=1000), [("key", "key")], take, how, ["id"])
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
