@@ -87,9 +87,10 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, i
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
-    """An array literal with thousandths of log(p_trusted / p_corpus) per bucket
-    (zeros where nothing is trusted).  The numbers come to the driver as one
-    text, so that the plan holds one expression, not one per bucket."""
+    """A scalar subquery for the array of thousandths of log(p_trusted / p_corpus)
+    per bucket (zeros where nothing is trusted).  The array is written as one row
+    and never becomes part of a plan, of which the driver keeps texts: there it
+    would stand once for every use, some 1.3 MB each."""
     counts = stored(counts, "counts")
     total = counts.agg(F.sum("n").alias("tn"), F.sum("good").alias("tg"))
     more = SMOOTHING * buckets
@@ -99,8 +100,7 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
             .join(F.broadcast(total))  # one row
             .select("bucket", F.when(F.col("tg") > 0, F.round(1000 * ratio)).otherwise(0).cast("int").alias("r")))
     row = each.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "r"))), lambda x: x["r"]).alias("r"))
-    text = row.select(F.array_join(F.col("r").cast("array<string>"), ",")).first()[0]
-    return F.split(F.lit(text), ",").cast("array<int>")
+    return stored(row, "ratios").scalar()
 
 
 def base_rules(d: DataFrame) -> DataFrame:
@@ -154,11 +154,15 @@ def cut_between(good: dict[int, int], bad: dict[int, int], otherwise: int = THRE
 
 
 def _scored(d: DataFrame, ratios: Column, buckets: int) -> DataFrame:
-    """The columns of ``d`` with n_grams and ratio_sum in place of the words."""
-    d = d.withColumn("_b", ngram_buckets(F.col("_w"), buckets)).drop("_w")
-    return d.withColumns({
-        "n_grams": F.size("_b").cast("long"),
-        "ratio_sum": F.aggregate("_b", F.lit(0).cast("long"), lambda a, b: a + F.get(ratios, b))}).drop("_b")
+    """The columns of ``d`` with n_grams and ratio_sum in place of the words.
+    A subquery can't stand in a lambda, so it is a column first; as every
+    column it stands beside is plain or used once, the optimizer puts it in its
+    place and no row carries the array."""
+    n = F.col("n_words")
+    return d.withColumn("_r", ratios).withColumns({
+        "n_grams": F.when(n > 1, 2 * n - 1).otherwise(n),
+        "ratio_sum": F.aggregate(ngram_buckets(F.col("_w"), buckets), F.lit(0).cast("long"),
+                                 lambda a, b: a + F.get("_r", b))}).drop("_r", "_w")
 
 
 def labelled(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -163,3 +163,13 @@ def test_main_path_is_native(spark):
     lab = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     plan = judge_quality(d, lab)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+def test_ratios_are_no_part_of_a_plan(spark):
+    """The driver keeps the texts of plans: they don't hold a number per bucket, nor does any row."""
+    d = spark.createDataFrame(DOCS, "doc_id long, text string")
+    lab = spark.createDataFrame([(1, 1), (13, 0)], "doc_id long, quality int")
+    for out in (judge_quality(d, lab, threshold=-600), quality.keep_good(d, lab), quality.keep_good(d, lab, threshold=-600)):
+        plan = out._jdf.queryExecution()
+        assert len(plan.toString()) < BUCKETS
+        assert "Subquery" in plan.executedPlan().toString() and "_r#" not in plan.executedPlan().toString()
