@@ -46,13 +46,17 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return labels.where("quality = 1").select(F.col(id_col).alias("_trusted")).dropna().distinct()
 
 
-def ngram_buckets(w: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket of every word and of every two neighbouring words."""
-    one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    two = F.transform(
-        F.sequence(F.lit(1), F.size(w) - 1),
-        lambda i: F.pmod(F.xxhash64(F.get(w, i - 1), F.get(w, i)), F.lit(buckets)).cast("int"))
-    return F.when(F.size(w) > 1, F.concat(one, two)).otherwise(one)
+def bucket_of(h: Column, buckets: int = BUCKETS) -> Column:
+    """Bucket of a 64-bit hash (of a power of two of buckets: its low bits)."""
+    if buckets & (buckets - 1):
+        return F.pmod(h, F.lit(buckets)).cast("int")
+    return h.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")
+
+
+def neighbours(a: Column, apart: int) -> Column:
+    """A 64-bit hash of every two items of an array that lie so far apart."""
+    n = F.greatest(F.size(a) - apart, F.lit(0))
+    return F.zip_with(F.slice(a, 1, n), F.slice(a, 1 + apart, n), lambda x, y: F.xxhash64(x, y))
 
 
 def buckets_for(n_grams: int) -> int:
@@ -73,8 +77,13 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, i
     """(bucket, n, good): n-grams of all documents and of trusted ones."""
     def counted(d: DataFrame, flag: Column) -> DataFrame:
         w = d.select(words(F.col(text_col)).alias("_w"), flag.cast("int").alias("_flag"))
-        return w.select("_flag", F.explode(ngram_buckets(F.col("_w"), buckets)).alias("bucket")).groupBy(
-            "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("_flag").cast("long").alias("good"))
+        # Words are rows here, each with its next one: hashed in a lambda, they aren't compiled.
+        pairs = F.arrays_zip("_w", F.slice("_w", 2, F.size("_w")))
+        one = bucket_of(F.xxhash64("_x"), buckets)
+        two = F.when(F.col("_y").isNotNull(), bucket_of(F.xxhash64("_x", "_y"), buckets))
+        return (w.select("_flag", F.inline(pairs).alias("_x", "_y"))
+                .select("_flag", F.explode(F.array(one, two)).alias("bucket")).where("bucket is not null")
+                .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("_flag").cast("long").alias("good")))
 
     own = docs.select(F.col(id_col).alias("_id"), text_col)
     trusted = stored(trusted, "trusted")
@@ -104,24 +113,25 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
 
 
 def base_rules(d: DataFrame) -> DataFrame:
-    """Words and the base counters of every row (_id: any type, _t: text)."""
+    """Words (_w), a hash of every two neighbouring ones (_b) and the base
+    counters of every row (_id: any type, _t: text)."""
     t = F.col("_t")
     d = d.withColumn("_w", words(t))
-    w, n = F.col("_w"), F.size("_w")
+    w = F.col("_w")
     lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     d = d.select(
-        "_id", "_w", n.cast("long").alias("n_words"),
+        "_id", "_w", neighbours(w, 1).alias("_b"), F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), lines.alias("_lines"),
-        F.when(n >= 5, F.transform(
-            F.sequence(F.lit(0), n - 5),
-            lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)]))).alias("_h5"))
-    # Only texts in which a window comes twice sort their windows.
-    d = d.select(
-        "_id", "_w", "n_words", "word_chars", "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("_h5")) < F.size("_h5"), F.sort_array(F.transform(
-            "_h5", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("_s"))
+        F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), lines.alias("_lines"))
+    # Two pairs make a window of four words; only texts in which one comes twice
+    # need those of five, and only if one of these does sort them.
+    d = d.withColumns({
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "_h4": neighbours(F.col("_b"), 2)}).drop("_lines")
+    d = d.withColumn("_h5", F.when(F.size(F.array_distinct("_h4")) < F.size("_h4"),
+                                   neighbours(F.col("_h4"), 1))).drop("_h4")
+    d = d.withColumn("_s", F.when(F.size(F.array_distinct("_h5")) < F.size("_h5"), F.sort_array(F.transform(
+        "_h5", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))).drop("_h5")
     s = F.col("_s")
     at = F.sort_array(F.filter(F.transform(s, lambda x, k: F.when(
         (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]), x["i"])),
@@ -154,15 +164,16 @@ def cut_between(good: dict[int, int], bad: dict[int, int], otherwise: int = THRE
 
 
 def _scored(d: DataFrame, ratios: Column, buckets: int) -> DataFrame:
-    """The columns of ``d`` with n_grams and ratio_sum in place of the words.
+    """The columns of ``d`` with n_grams and ratio_sum in place of the words and pairs.
     A subquery can't stand in a lambda, so it is a column first; as every
     column it stands beside is plain or used once, the optimizer puts it in its
     place and no row carries the array."""
     n = F.col("n_words")
+    hashes = F.concat(F.transform("_w", lambda x: F.xxhash64(x)), "_b")
     return d.withColumn("_r", ratios).withColumns({
         "n_grams": F.when(n > 1, 2 * n - 1).otherwise(n),
-        "ratio_sum": F.aggregate(ngram_buckets(F.col("_w"), buckets), F.lit(0).cast("long"),
-                                 lambda a, b: a + F.get("_r", b))}).drop("_r", "_w")
+        "ratio_sum": F.aggregate(hashes, F.lit(0).cast("long"),
+                                 lambda a, h: a + F.get("_r", bucket_of(h, buckets)))}).drop("_r", "_w", "_b")
 
 
 def labelled(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

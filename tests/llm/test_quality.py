@@ -173,3 +173,28 @@ def test_ratios_are_no_part_of_a_plan(spark):
         plan = out._jdf.queryExecution()
         assert len(plan.toString()) < BUCKETS
         assert "Subquery" in plan.executedPlan().toString() and "_r#" not in plan.executedPlan().toString()
+
+
+def test_every_ngram_is_hashed_once_and_compiled(spark):
+    """Counting has no lambda (those aren't compiled) and splits a text once; no word is fetched by its place."""
+    d = spark.createDataFrame(DOCS, "doc_id long, text string")
+    lab = spark.createDataFrame([(1, 1), (13, 0)], "doc_id long, quality int")
+    plan = quality.bucket_counts(d, quality.trusted_ids(lab))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("split(") == 1 and "_w#" not in plan.split("Generate inline")[0]
+    plan = judge_quality(d, lab, threshold=-600)._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(" not in plan
+
+
+WINDOWS = ["a b c d", "a b c d e", "a b c d a b c d", "a b c d x a b c d y", "a b c d e a b c d e", "a b c d e x a b c d e",
+           "x a b c d e y z a b c d e q r s t u v w", "a a a a a", "a a a a a a", "a a b a a b a a b a a b", "a b a b a b a b",
+           "a b c d e f a b c d e g b c d e f", "é 😀 你 é 😀 你 é 😀 你", "ab c d e f a bc d e f ab c d e f"]
+
+
+@pytest.mark.parametrize("buckets", [BUCKETS, 1024, 1000])
+def test_windows_and_buckets_equal_brute_force(spark, monkeypatch, buckets):
+    """Four words that come twice are no window; any number of buckets."""
+    monkeypatch.setitem(globals(), "BUCKETS", buckets)
+    docs, labels = list(enumerate(WINDOWS)), [(1, 1), (6, 1), (2, 0)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = judge_quality(d, spark.createDataFrame(labels, "doc_id long, quality int"), buckets=buckets, threshold=THRESHOLD)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(docs, labels))
