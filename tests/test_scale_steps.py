@@ -2,14 +2,17 @@
 
 import os
 import re
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from campfin.operators.lookup import Lookup, lookup
 from campfin.operators.parse import parse_kind
-from campfin.plans import feeds
+from campfin.operators.repairs import repair_counts
+from campfin.plans import feeds, runs
 from campfin.session import local_fs_path
+from campfin.sources.ziplines import write_archives
 
 
 def test_a_filter_on_a_field_does_not_split_the_line_again(spark):
@@ -34,6 +37,59 @@ def test_archives_follow_the_lines(spark, tmp_path, monkeypatch):
     assert sum(sizes) == 1000 and max(sizes) < 200
 
 
+def test_lines_are_rendered_where_they_are_written(spark, tmp_path, monkeypatch):
+    src = spark.range(1000).select(F.when(F.col("id") % 4 == 0, "98").otherwise("00").alias("y2"),
+                                   (F.col("id") + 1).cast("decimal(19,0)").alias("sub_id"), F.col("id").alias("k"))
+    seen = {}
+    pack = feeds.pack
+
+    def watched(dealt, root):
+        seen["dealt"] = dealt
+        return pack(dealt, root)
+
+    monkeypatch.setattr(feeds, "pack", watched)
+    feeds.write_feed(spark, {"delete": src}, str(tmp_path / "feed"))
+    plan = seen["dealt"]._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("concat(") < plan.index("Sort [") < plan.index("RepartitionBy")
+    tasks = seen["dealt"].groupBy(F.spark_partition_id()).agg(F.countDistinct("_kind", "y2", "_part")).collect()
+    assert len(tasks) == 4 and {r[1] for r in tasks} == {1}
+
+
+def test_archives_hold_the_lines_in_order(spark, tmp_path):
+    rows = [("98", i % 3, "\u00e9\n" * (i % 2) + str(i)) for i in range(50)] + [("00", 1, "x")]
+    lines = spark.createDataFrame(rows, "y2 string, _order long, value string").repartition(3)
+    done = {r["path"].split("/feed/")[1]: r["lines"] for r in
+            write_archives(lines, str(tmp_path / "feed"), "oth", 1, encoding="iso-8859-1").collect()}
+    assert done == {"1998/part-00000/oth98.zip": 50, "2000/part-00000/oth00.zip": 1}
+    with zipfile.ZipFile(tmp_path / "feed/1998/part-00000/oth98.zip") as zf:
+        text = zf.read("oth98-00000.txt").decode("iso-8859-1")
+    by_order = [sorted(v + "\n" for y, o, v in rows if y == "98" and o == n) for n in range(3)]
+    at = 0
+    for group in by_order:  # lines of equal order come in any order
+        end = at + len("".join(group))
+        assert sorted(text[at:end].replace("\u00e9\n", "\u00e9").split("\n")) == sorted(
+            "".join(group).replace("\u00e9\n", "\u00e9").split("\n"))
+        at = end
+    assert at == len(text)
+    with pytest.raises(Exception, match="NoneType"):  # a line that is missing is no empty line
+        write_archives(spark.createDataFrame([("98", 1, None)], lines.schema), str(tmp_path / "bad"), "oth").count()
+
+
+def test_repairs_are_counted_while_lines_are_staged(spark):
+    contrib = "C1|N|Q1|P|1|15|IND|A|B|NY|1|E|O|01021998|{}||{}|1||m|{}"
+    values = [("indiv", contrib.format("5USD", "\\N", 7)), ("indiv", contrib.format("5", "a\\|b", 0)),
+              ("indiv", "short|line"), ("delete", "8|x"), ("cn", "S1|\\N"), ("cn", "S2|" + "long" * 60)]
+    bronze = spark.createDataFrame(
+        [("p", "e", i, v, i, 0, "98", k) for i, (k, v) in enumerate(values)], runs.BRONZE_SCHEMA)
+    repairs = {k: {} for k in ("indiv", "delete", "cn")}
+    staged = {k: runs.stage(bronze, k, repairs) for k in (*repairs, "add")}
+    assert [int(r["sub_id"]) for r in staged["indiv"].collect()] == [7]  # the others have no number
+    assert staged["add"].count() == 0 and staged["cn"].count() == 2 and staged["cn"].columns[:3] == ["y2", "cn_id", "name"]
+    assert {k: r for k, r in repairs.items()} == {
+        k: {r["repair"]: r["count"] for r in repair_counts(bronze.where(F.col("kind") == k)).collect()} for k in repairs}
+    assert repairs["indiv"]["null_fields"] == 1 and repairs["cn"]["cut_text"] == 1
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_rows_of_heavy_keys_are_not_shuffled(spark, how):
     facts = spark.range(2000).select("id", F.when(F.col("id") % 2 == 0, "HOT").when(F.col("id") % 5 == 0, "GONE")
